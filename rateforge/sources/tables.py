@@ -43,8 +43,18 @@ EVENT_COUNTERS = [("useful", "click"), ("funny", "purchase"), ("cool", "view"),
 NOISE_BY_TYPE = {"ECONOMY": "quiet", "SMALL": "average", "MEDIUM": "loud", "LARGE": "very_loud", "PROMO": "unknown"}
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """The parquet table ``name`` of ``sf_dir``; one resolved reader per session,
+    so a plan that uses a table in several branches lists and parses it once."""
+    key = (id(spark._jsparkSession), os.path.abspath(sf_dir), name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+        _TABLES[key] = df
+    return df
 
 
 def event_item(props: str | Column = "props") -> Column:

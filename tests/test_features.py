@@ -1,0 +1,164 @@
+"""Cold-start rule, tip rules and join invariants of the feature matrix."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from rateforge.operators import dimensions as D
+from rateforge.operators import features as X
+from rateforge.operators import signals as G
+from rateforge.schemas import COMPLIMENT_FIELDS, FEATURES, FLAG_COLUMNS
+
+AS_OF = dt.date(2020, 1, 31)
+
+
+@pytest.fixture(scope="module")
+def inputs(spark):
+    comp = ", ".join(f"{c} long" for c in COMPLIMENT_FIELDS)
+    users = spark.createDataFrame(
+        [
+            ("u1", 10, 4.0, "2020-01-01", 1, 1, 1, 1, *[1] * 11),
+            ("u2", 5, None, None, 0, 0, 0, 0, *[0] * 11),
+        ],
+        f"user_id string, review_count long, average_stars double, yelping_since string, "
+        f"useful long, funny long, cool long, fans long, {comp}",
+    )
+    items = spark.createDataFrame(
+        [
+            ("i1", 20, 3.5, 1, 0.0, 90.0, {"BikeParking": "True", "NoiseLevel": "loud", "RestaurantsPriceRange2": "2"}),
+            ("i2", None, 2.0, 0, None, 5.0, None),
+        ],
+        "item_id string, review_count long, stars double, is_open int, latitude double, longitude double, "
+        "attributes map<string,string>",
+    )
+    visits = spark.createDataFrame(
+        [("i1", {"Fri-1": 3, "Fri-0": 9}), ("i9", {"Fri-1": 5})], "item_id string, time map<string,int>"
+    )
+    tips = spark.createDataFrame(
+        [("u1", "i1", 2, 1), ("u1", "i1", 4, 2), ("u1", "i3", 6, 3), ("u7", "i1", 3, 4)],
+        "user_id string, item_id string, likes long, _seq long",
+    )
+    photos = spark.createDataFrame([("i1",), ("i1",), ("i9",)], "item_id string")
+    pairs = spark.createDataFrame(
+        [
+            ("u1", "i1", 5.0),
+            ("u1", "i1", 4.0),
+            ("u1", "i2", 3.0),
+            ("u1", "i9", 2.0),
+            ("u9", "i1", 1.0),
+            ("u9", "i9", 3.0),
+            ("u2", "i1", 4.0),
+        ],
+        "user_id string, item_id string, rating double",
+    )
+    return dict(users=users, items=items, visits=visits, tips=tips, photos=photos, pairs=pairs)
+
+
+@pytest.fixture(scope="module")
+def fm(inputs):
+    i = inputs
+    return X.feature_matrix(i["pairs"], i["users"], i["items"], i["visits"], i["tips"], i["photos"], AS_OF).collect()
+
+
+def _row(fm, user, item):
+    rows = [r for r in fm if r["user_id"] == user and r["item_id"] == item]
+    return rows[0]
+
+
+def test_row_count_and_order_of_columns(fm, inputs):
+    assert len(fm) == inputs["pairs"].count()
+    assert list(fm[0].asDict().keys()) == ["user_id", "item_id", *FEATURES, "rating"]
+    assert len(FEATURES) == 34
+
+
+def test_both_known_with_pair_tip(fm):
+    r = _row(fm, "u1", "i1")
+    assert (r.user_avg, r.user_count, r.item_avg, r.item_count) == (4.0, 10, 3.5, 20)
+    assert r.tip_likes == 4.0  # last tip of the pair, not the average
+    assert (r.item_visits, r.photo_count, r.days_active) == (3, 2, 30)
+    assert (r.bike_parking, r.noise_level, r.price_range, r.credit_card) == (1, 2, 2.0, None)
+    assert (r.interactions, r.compliments) == (4, 11)
+
+
+def test_both_known_without_pair_tip_is_null(fm):
+    r = _row(fm, "u1", "i2")
+    assert r.tip_likes is None
+    assert (r.item_visits, r.photo_count) == (0, 0)  # known item: 0, not null
+    assert r.item_count == 0  # missing review_count of a known item
+    assert r.lat_sin is None and r.lon_sin is None  # location needs both coordinates
+
+
+def test_user_only(fm):
+    r = _row(fm, "u1", "i9")
+    assert (r.user_avg, r.item_avg, r.item_count, r.item_visits, r.photo_count) == (4.0, 3.0, None, None, None)
+    assert r.tip_likes == 4.0  # user's average over all three tips
+    assert r.days_active == 30
+    assert r.bike_parking is None and r.is_open is None
+
+
+def test_item_only(fm):
+    r = _row(fm, "u9", "i1")
+    assert (r.user_avg, r.user_count, r.days_active) == (3.0, None, None)
+    assert (r.item_avg, r.item_count, r.item_visits, r.photo_count) == (3.5, 20, 3, 2)
+    assert r.tip_likes == 3.0  # item's average over all its tips
+    assert r.interactions is None
+
+
+def test_neither(fm):
+    r = _row(fm, "u9", "i9")
+    for c in ("user_avg", "user_count", "item_avg", "item_count", "item_visits", "tip_likes", "photo_count", "days_active"):
+        assert r[c] is None, c
+
+
+def test_known_user_without_average_stays_null(fm):
+    r = _row(fm, "u2", "i1")
+    assert r.user_avg is None
+    assert r.days_active is None
+    assert r.tip_likes is None  # both known, no tip of the pair
+
+
+def test_flags_and_trig_invariants(fm):
+    for r in fm:
+        for c in FLAG_COLUMNS:
+            assert r[c] in (0, 1, None)
+        if r.lat_sin is not None:
+            assert abs(r.lat_sin**2 + r.lat_cos**2 - 1) < 1e-12
+
+
+def test_tip_averages_use_all_rows_and_pair_uses_last(spark, inputs):
+    tips = inputs["tips"]
+    by_user = dict(G.tip_likes_by_user(tips).collect())
+    by_item = dict(G.tip_likes_by_item(tips).collect())
+    last = {(r.user_id, r.item_id): r.likes for r in G.latest_tip_per_pair(tips).collect()}
+    assert by_user["u1"] == 4.0 and by_item["i1"] == 3.0
+    assert last[("u1", "i1")] == 4
+
+
+def test_latest_tip_with_hot_pair(spark):
+    # One pair holding most rows: the reduction is a partial aggregate, and the
+    # greatest order value wins regardless of partitioning.
+    n = 20000
+    tips = spark.range(n).select(
+        F.lit("hot").alias("user_id"),
+        F.lit("i").alias("item_id"),
+        (F.col("id") % 97).alias("likes"),
+        F.col("id").alias("_seq"),
+    ).repartition(16)
+    last = G.latest_tip_per_pair(tips).collect()
+    assert len(last) == 1 and last[0]["likes"] == (n - 1) % 97
+
+
+def test_cold_start_mix_counts(spark, inputs):
+    got = dict(X.cold_start_mix(inputs["pairs"], inputs["users"], inputs["items"]).collect())
+    assert got == {"both": 4, "user_only": 1, "item_only": 1, "neither": 1}
+
+
+def test_dimensions_unique_per_key(inputs):
+    i = inputs
+    ud = D.user_dimension(i["users"], i["tips"], AS_OF)
+    idim = D.item_dimension(i["items"], i["visits"], i["photos"], i["tips"])
+    assert ud.count() == ud.select("user_id").distinct().count()
+    assert idim.count() == idim.select("item_id").distinct().count()
