@@ -60,7 +60,7 @@ def main() -> None:
         params["maxIter"] = int(trees)
     out = os.path.join(tempfile.mkdtemp(prefix="rateforge-bench-"), "predictions")
     t = time.time()
-    res = train_and_score(spark, T.load(spark, sf_dir), out, params=params)
+    res = train_and_score(spark, T.load(spark, sf_dir, evaluate=True), out, params=params)
     job = round(time.time() - t, 3)
     times["job_total"] = job
     for k, v in res.timings.items():

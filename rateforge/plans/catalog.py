@@ -46,22 +46,20 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _features(spark: SparkSession, sf_dir: str, pairs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    r = T.ratings(spark, sf_dir)
-    return X.feature_matrix(
-        pairs,
+def _dimensions(spark: SparkSession, sf_dir: str) -> X.Dimensions:
+    """Dimensions of the test tables, materialized in the checkpoint folder."""
+    return X.Dimensions.build(
         T.users(spark, sf_dir),
-        T.items(spark, sf_dir, r),
+        T.items(spark, sf_dir),
         T.visits(spark, sf_dir),
         T.tips(spark, sf_dir),
         T.photos(spark, sf_dir),
         T.AS_OF,
-        keep=keep,
-    )
+    ).materialize()
 
 
-def _holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.load(spark, sf_dir).pairs
+def _features(spark: SparkSession, sf_dir: str, pairs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    return X.features_from(pairs, _dimensions(spark, sf_dir), keep=keep)
 
 
 # --- sources ---------------------------------------------------------------
@@ -72,7 +70,7 @@ def q_ratings(spark, sf_dir):
 
 
 def q_scoring_pairs(spark, sf_dir):
-    return _holdout(spark, sf_dir).select("user_id", "item_id")
+    return T.pairs(spark, sf_dir)
 
 
 def q_split_ratings(spark, sf_dir):
@@ -158,8 +156,7 @@ def q_pair_tip_likes(spark, sf_dir):
 
 
 def q_cold_start_mix(spark, sf_dir):
-    r = T.ratings(spark, sf_dir)
-    return X.cold_start_mix(r, T.users(spark, sf_dir), T.items(spark, sf_dir, r))
+    return X.cold_start_mix(T.ratings(spark, sf_dir), T.users(spark, sf_dir), T.items(spark, sf_dir))
 
 
 def q_feature_matrix(spark, sf_dir):
@@ -167,7 +164,7 @@ def q_feature_matrix(spark, sf_dir):
 
 
 def q_scoring_matrix(spark, sf_dir):
-    return _rounded(_features(spark, sf_dir, _holdout(spark, sf_dir).select("user_id", "item_id"), keep=[]))
+    return _rounded(_features(spark, sf_dir, T.pairs(spark, sf_dir), keep=[]))
 
 
 def q_missing_profile(spark, sf_dir):
@@ -193,12 +190,12 @@ def _baseline(df: DataFrame) -> DataFrame:
 
 
 def q_rmse(spark, sf_dir):
-    scored = _baseline(_features(spark, sf_dir, _holdout(spark, sf_dir)))
+    scored = _baseline(_features(spark, sf_dir, T.ratings(spark, sf_dir)))
     return E.rmse(scored).select(F.round("rmse", AVG).alias("rmse"), "n")
 
 
 def q_error_histogram(spark, sf_dir):
-    return E.error_histogram(_baseline(_features(spark, sf_dir, _holdout(spark, sf_dir))))
+    return E.error_histogram(_baseline(_features(spark, sf_dir, T.ratings(spark, sf_dir))))
 
 
 def q_rmse_by_split(spark, sf_dir):
@@ -211,13 +208,11 @@ def q_rmse_by_split(spark, sf_dir):
 
 
 def q_predict_ratings(spark, sf_dir):
+    """Fit on all ratings, predict every view pair (the job with small settings)."""
     inputs = T.load(spark, sf_dir)
-    train = X.feature_matrix(inputs.ratings, inputs.users, inputs.items, inputs.visits, inputs.tips, inputs.photos, inputs.as_of)
-    score = X.feature_matrix(
-        inputs.pairs.select("user_id", "item_id"), inputs.users, inputs.items, inputs.visits, inputs.tips, inputs.photos, inputs.as_of
-    )
-    model = M.fit(train.checkpoint(), QUERY_MODEL_PARAMS)
-    return M.predict(model, score)
+    dims = _dimensions(spark, sf_dir)
+    model = M.fit(X.features_from(inputs.ratings, dims).checkpoint(), QUERY_MODEL_PARAMS)
+    return M.predict(model, X.features_from(inputs.pairs, dims))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -72,7 +72,9 @@ items AS (
          {_NOISE} AS noise_level,
          {_ORDINALS}
   FROM part p
-  LEFT JOIN (SELECT item_id, count(*) AS n, avg(rating) AS stars FROM ratings GROUP BY item_id) s
+  LEFT JOIN (SELECT l_partkey AS item_id, count(*) AS n,
+                    avg(CAST(floor((l_quantity - 1) / 10) + 1 AS DOUBLE)) AS stars
+             FROM lineitem GROUP BY l_partkey) s
     ON s.item_id = p.p_partkey
   WHERE p.p_size <= {T.MAX_KNOWN_SIZE}
 )"""
@@ -209,7 +211,7 @@ def _rounded_select(columns: list[str]) -> str:
 
 
 ALL_RATINGS = "SELECT user_id, item_id, rating FROM ratings"
-HOLDOUT = f"SELECT user_id, item_id, rating FROM ratings WHERE {SPLIT} = 'valid'"
+VIEW_PAIRS = f"SELECT user_id, {K} AS item_id FROM events WHERE event_type = 'view'"
 WITH_SPLIT = f"SELECT user_id, item_id, rating, {SPLIT} AS split FROM ratings"
 BASELINE = f"coalesce((user_avg + item_avg) / 2, user_avg, item_avg, {_DEFAULT})"
 
@@ -217,7 +219,7 @@ BASELINE = f"coalesce((user_avg + item_avg) / 2, user_avg, item_avg, {_DEFAULT})
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["ratings"] = f"WITH {RATINGS} SELECT user_id, item_id, rating FROM ratings"
-    q["scoring_pairs"] = f"WITH {RATINGS} SELECT user_id, item_id FROM ({HOLDOUT})"
+    q["scoring_pairs"] = VIEW_PAIRS
     q["split_ratings"] = f"WITH {RATINGS} {WITH_SPLIT}"
     q["user_profile"] = (
         f"WITH {USERS} SELECT user_id, review_count, round(average_stars, 6) AS average_stars, joined_on FROM users"
@@ -225,17 +227,17 @@ def _sql() -> dict[str, str]:
     q["user_engagement"] = f"WITH {USERS} SELECT user_id, interactions, compliments FROM users"
     q["user_tenure"] = f"WITH {USERS} SELECT user_id, days_active FROM users"
     q["item_profile"] = (
-        f"WITH {RATINGS}, {ITEMS} SELECT item_id, review_count, round(stars, 6) AS stars, is_open FROM items"
+        f"WITH {ITEMS} SELECT item_id, review_count, round(stars, 6) AS stars, is_open FROM items"
     )
     q["item_location"] = (
-        f"WITH {RATINGS}, {ITEMS} SELECT item_id, "
+        f"WITH {ITEMS} SELECT item_id, "
         "round(sin(radians(latitude)), 9) AS lat_sin, round(cos(radians(latitude)), 9) AS lat_cos, "
         "round(sin(radians(longitude)), 9) AS lon_sin, round(cos(radians(longitude)), 9) AS lon_cos "
         "FROM items WHERE latitude IS NOT NULL AND longitude IS NOT NULL"
     )
-    q["item_flags"] = f"WITH {RATINGS}, {ITEMS} SELECT item_id, {', '.join(S.FLAG_COLUMNS)} FROM items"
-    q["item_price_tier"] = f"WITH {RATINGS}, {ITEMS} SELECT item_id, price_range FROM items"
-    q["item_ordinals"] = f"WITH {RATINGS}, {ITEMS} SELECT item_id, {', '.join(S.ORDINAL_COLUMNS)} FROM items"
+    q["item_flags"] = f"WITH {ITEMS} SELECT item_id, {', '.join(S.FLAG_COLUMNS)} FROM items"
+    q["item_price_tier"] = f"WITH {ITEMS} SELECT item_id, price_range FROM items"
+    q["item_ordinals"] = f"WITH {ITEMS} SELECT item_id, {', '.join(S.ORDINAL_COLUMNS)} FROM items"
     q["item_visits"] = f"WITH {VISITS} SELECT item_id, visits FROM visits"
     q["item_photo_count"] = f"WITH {PHOTOS} SELECT item_id, photo_count FROM photos"
     q["tip_likes_by_user"] = f"WITH {TIPS} SELECT user_id, round(avg(likes), 6) AS avg_likes FROM tips GROUP BY user_id"
@@ -255,7 +257,7 @@ def _sql() -> dict[str, str]:
     )
     fm_cols = ["user_id", "item_id", *S.FEATURES]
     q["feature_matrix"] = f"WITH {_features_cte(ALL_RATINGS, ['rating'])} SELECT {_rounded_select(fm_cols + ['rating'])} FROM fm"
-    q["scoring_matrix"] = f"WITH {_features_cte(HOLDOUT, [])} SELECT {_rounded_select(fm_cols)} FROM fm"
+    q["scoring_matrix"] = f"WITH {_features_cte(VIEW_PAIRS, [])} SELECT {_rounded_select(fm_cols)} FROM fm"
     nulls = ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in S.FEATURES)
     q["missing_profile"] = (
         f"WITH {_features_cte(ALL_RATINGS, ['rating'])}, counts AS (SELECT {nulls} FROM fm) "
@@ -264,13 +266,13 @@ def _sql() -> dict[str, str]:
     q["attribute_frequency"] = f"WITH {_attr_long()} SELECT attribute, count(*) AS n FROM attr_long GROUP BY attribute"
     q["attribute_values"] = f"WITH {_attr_long()} SELECT DISTINCT attribute, value FROM attr_long"
     q["rmse"] = (
-        f"WITH {_features_cte(HOLDOUT, ['rating'])} "
+        f"WITH {_features_cte(ALL_RATINGS, ['rating'])} "
         f"SELECT round(sqrt(avg(power(rating - {BASELINE}, 2))), 6) AS rmse, count(*) AS n FROM fm"
     )
     buckets = ", ".join(f"({lo}, '{label}')" for lo, label in S.ERROR_BUCKETS)
     top = S.ERROR_BUCKETS[-1][0]
     q["error_histogram"] = (
-        f"WITH {_features_cte(HOLDOUT, ['rating'])}, "
+        f"WITH {_features_cte(ALL_RATINGS, ['rating'])}, "
         f"c AS (SELECT CAST(least(floor(abs(rating - {BASELINE})), {top}) AS INTEGER) AS b, count(*) AS n FROM fm GROUP BY 1) "
         f"SELECT k.bucket_floor, k.bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS n "
         f"FROM (VALUES {buckets}) k(bucket_floor, bucket) LEFT JOIN c ON c.b = k.bucket_floor"

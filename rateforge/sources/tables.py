@@ -10,16 +10,22 @@ users     customers outside segment MACHINERY with at least one order;
           yelping_since = first order date; useful / funny / cool / fans =
           click / purchase / view / signup events of the user;
           compliment j (j = 1..11) = (c_custkey * j) % 7
-items     parts with p_size <= 40; review_count / stars = count / average of
-          the item's ratings; is_open = p_partkey % 4 <> 0;
+items     parts with p_size <= 40; review_count / stars = count / average
+          rating of the part's lineitems (its published profile; read from
+          lineitem alone, no join); is_open = p_partkey % 4 <> 0;
           latitude = p_retailprice - 945 (null when p_partkey % 10 = 0),
           longitude = p_size * 7 - 180; attributes: see ``attribute_entries``
 visits    events per item k = props.k, keyed by slot "<weekday>-<hour>"
 tips      click events: (user_id, item k, likes = floor(value)), ordered by
           (ts, event_id)
 photos    view events, one photo per event, of item k
-pairs     the hold-out split of the ratings (see ``operators.evaluation``)
+pairs     view events: (user_id, item k) of every view, duplicates kept - the
+          pairs a user looked at, to be scored
 as_of     2002-01-01
+
+``load`` gives the inputs of one run: either the whole ratings for training
+and the view pairs for scoring, or (``evaluate=True``) the train split of the
+ratings for training and the hold-out split, with its ratings, for scoring.
 """
 
 from __future__ import annotations
@@ -63,12 +69,16 @@ def event_item(props: str | Column = "props") -> Column:
     return F.get_json_object(c, "$.k").cast("long")
 
 
+def rating_of_quantity(quantity: str = "l_quantity") -> Column:
+    """Rating 1..5 of a lineitem: floor((quantity - 1) / 10) + 1."""
+    return (F.floor((F.col(quantity) - F.lit(1)) / F.lit(10)) + F.lit(1)).cast("double")
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    rating = (F.floor((F.col("l_quantity") - F.lit(1)) / F.lit(10)) + F.lit(1)).cast("double")
     return li.join(od, li.l_orderkey == od.o_orderkey, "inner").select(
-        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"), rating.alias("rating")
+        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"), rating_of_quantity().alias("rating")
     )
 
 
@@ -139,10 +149,11 @@ def attribute_entries() -> list[Column]:
     return out
 
 
-def items(spark: SparkSession, sf_dir: str, rating_rows: DataFrame | None = None) -> DataFrame:
-    rating_rows = rating_rows if rating_rows is not None else ratings(spark, sf_dir)
-    stats = rating_rows.groupBy("item_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.avg("rating").alias("stars")
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_partkey").alias("item_id"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.avg(rating_of_quantity()).alias("stars"))
     )
     parts = table(spark, sf_dir, "part").where(F.col("p_size") <= F.lit(MAX_KNOWN_SIZE))
     entries = F.filter(F.array(*attribute_entries()), lambda e: e["v"].isNotNull())
@@ -192,20 +203,35 @@ def photos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).where(F.col("event_type") == F.lit("view")).select(event_item().alias("item_id"))
 
 
-def load(spark: SparkSession, sf_dir: str) -> Inputs:
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs to score: (user, item) of every view event, duplicates kept."""
+    return (
+        _events(spark, sf_dir)
+        .where(F.col("event_type") == F.lit("view"))
+        .select("user_id", event_item().alias("item_id"))
+    )
+
+
+def load(spark: SparkSession, sf_dir: str, evaluate: bool = False) -> Inputs:
     """All inputs of one run over the test tables of ``sf_dir``.
 
-    The training rows are the train split of the ratings; the rows to score
-    are the hold-out split, with their rating kept for evaluation. Item
-    averages use all ratings, as a published item profile would.
+    Default: train on all ratings, score the view pairs. ``evaluate``: train on
+    the train split, score the hold-out split with its ratings kept, so that
+    the run can report its error. Item averages cover all lineitems of a part
+    in both cases, as a published profile would.
     """
     r = ratings(spark, sf_dir)
-    split = with_split(r)
+    if evaluate:
+        split = with_split(r)
+        train = split.where(F.col("split") == F.lit(TRAIN)).drop("split")
+        to_score = split.where(F.col("split") == F.lit(HOLDOUT)).drop("split")
+    else:
+        train, to_score = r, pairs(spark, sf_dir)
     return Inputs(
-        ratings=split.where(F.col("split") == F.lit(TRAIN)).drop("split"),
-        pairs=split.where(F.col("split") == F.lit(HOLDOUT)).drop("split"),
+        ratings=train,
+        pairs=to_score,
         users=users(spark, sf_dir),
-        items=items(spark, sf_dir, r),
+        items=items(spark, sf_dir),
         visits=visits(spark, sf_dir),
         tips=tips(spark, sf_dir),
         photos=photos(spark, sf_dir),
