@@ -14,20 +14,18 @@ from pyspark.sql import types as T
 # Input schemas (file sources)
 # ---------------------------------------------------------------------------
 
-RATINGS_CSV = T.StructType(
-    [
-        T.StructField("user_id", T.StringType()),
-        T.StructField("business_id", T.StringType()),
-        T.StructField("stars", T.StringType()),
-    ]
-)
-
-PAIRS_CSV = T.StructType(
-    [
-        T.StructField("user_id", T.StringType()),
-        T.StructField("business_id", T.StringType()),
-    ]
-)
+# File names of an input folder (role -> file).
+INPUT_FILES = {
+    "ratings": "yelp_train.csv",
+    "users": "user.json",
+    "items": "business.json",
+    "visits": "checkin.json",
+    "tips": "tip.json",
+    "photos": "photo.json",
+}
+
+# The ratings and pair CSVs are positional: user, item[, rating]; see
+# sources.files. The JSON sources:
 
 COMPLIMENT_FIELDS = [
     "compliment_hot",

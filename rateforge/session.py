@@ -17,6 +17,8 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files once their frames are garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schemas import INPUT_FILES
 from . import files
 
 
@@ -45,14 +46,14 @@ def from_files(
     pairs_with_rating: bool = False,
 ) -> Inputs:
     """Inputs from the original file layout of a data folder plus a pairs CSV."""
-    p = lambda name: os.path.join(folder, name)
+    p = lambda role: os.path.join(folder, INPUT_FILES[role])
     return Inputs(
-        ratings=files.read_ratings(spark, p("yelp_train.csv")),
+        ratings=files.read_ratings(spark, p("ratings")),
         pairs=files.read_pairs(spark, pairs_path, with_rating=pairs_with_rating),
-        users=files.read_users(spark, p("user.json")),
-        items=files.read_items(spark, p("business.json")),
-        visits=files.read_visits(spark, p("checkin.json")),
-        tips=files.read_tips(spark, p("tip.json")),
-        photos=files.read_photos(spark, p("photo.json")),
+        users=files.read_users(spark, p("users")),
+        items=files.read_items(spark, p("items")),
+        visits=files.read_visits(spark, p("visits")),
+        tips=files.read_tips(spark, p("tips")),
+        photos=files.read_photos(spark, p("photos")),
         as_of=as_of,
     )
