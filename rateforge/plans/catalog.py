@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas as S
 from ..operators import dimensions as D
 from ..operators import evaluation as E
 from ..operators import features as X
