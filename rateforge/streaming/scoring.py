@@ -14,6 +14,7 @@ import os
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.features import Dimensions, features_from
@@ -24,11 +25,16 @@ PAIRS_STREAM_SCHEMA = "user_id string, business_id string"
 
 
 def pair_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming (user_id, item_id) rows of the pair CSV files arriving in ``folder``."""
+    """Streaming (user_id, item_id) rows of the pair CSV files arriving in ``folder``.
+
+    The reader drops the first line of each file; a header line repeated
+    inside a file is dropped as well, as in the batch reader.
+    """
     reader = spark.readStream.schema(PAIRS_STREAM_SCHEMA).option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(folder).withColumnRenamed("business_id", "item_id")
+    header = (F.col("user_id") == F.lit("user_id")) & (F.col("business_id") == F.lit("business_id"))
+    return reader.csv(folder).where(~F.coalesce(header, F.lit(False))).withColumnRenamed("business_id", "item_id")
 
 
 def score_stream(

@@ -24,14 +24,13 @@ def _rows(folder):
 def test_stream_scores_new_files_once(spark, workdir):
     data, pairs = _folder(os.path.join(workdir, "data"))
     inputs = bundle.from_files(spark, data, pairs, dt.date(2020, 1, 1))
-    dims = Dimensions.build(inputs.users, inputs.items, inputs.visits, inputs.tips, inputs.photos, inputs.as_of)
-    dims = dims.map(lambda df: df.checkpoint(eager=True))
+    dims = Dimensions.build(inputs.users, inputs.items, inputs.visits, inputs.tips, inputs.photos, inputs.as_of).materialize()
     model = M.fit(features_from(inputs.ratings, dims), SMALL)
 
     incoming, out, ckpt = (os.path.join(workdir, x) for x in ("in", "out", "ckpt"))
     os.makedirs(incoming)
     with open(os.path.join(incoming, "a.csv"), "w") as f:
-        f.write("user_id,business_id\nu1,b1\nu1,b1\nnew,b2\n")
+        f.write("user_id,business_id\nu1,b1\nuser_id,business_id\nu1,b1\nnew,b2\n")
     score_stream(spark, model, dims, incoming, out, ckpt).awaitTermination()
     first = _rows(out)
     assert len(first) == 3
