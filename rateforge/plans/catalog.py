@@ -148,14 +148,17 @@ def q_latest_tip_per_pair(spark, sf_dir):
 
 
 def q_pair_tip_likes(spark, sf_dir):
-    return X.pair_tip_likes(T.ratings(spark, sf_dir), T.tips(spark, sf_dir))
+    last = G.latest_tip_per_pair(T.tips(spark, sf_dir)).checkpoint(eager=True)
+    return X.pair_tip_likes(T.ratings(spark, sf_dir), last)
 
 
 # --- feature matrix --------------------------------------------------------
 
 
 def q_cold_start_mix(spark, sf_dir):
-    return X.cold_start_mix(T.ratings(spark, sf_dir), T.users(spark, sf_dir), T.items(spark, sf_dir))
+    known_users = T.users(spark, sf_dir).select("user_id").checkpoint(eager=True)
+    known_items = T.items(spark, sf_dir).select("item_id").checkpoint(eager=True)
+    return X.cold_start_mix(T.ratings(spark, sf_dir), known_users, known_items)
 
 
 def q_feature_matrix(spark, sf_dir):
