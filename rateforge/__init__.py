@@ -1,0 +1 @@
+"""rateforge: rating features and rating prediction on Spark DataFrames."""
