@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -53,3 +54,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="rateforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+# Shuffle sizing: the largest shuffles carry the feature rows, a few times
+# wider than the compressed input. Partitions of about TARGET_PARTITION_BYTES
+# fit executor memory with room to spare; AQE coalesces what turns out small.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+EXPANSION = 4
+MAX_SHUFFLE_PARTITIONS = 200_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, nbytes: int) -> int:
+    """Raise AQE's initial shuffle partition count to fit ``nbytes`` of input.
+
+    The count is input x EXPANSION / TARGET_PARTITION_BYTES, capped at
+    MAX_SHUFFLE_PARTITIONS; a larger setting already in the session is kept.
+    Returns the count in effect.
+    """
+    wanted = min(MAX_SHUFFLE_PARTITIONS, math.ceil(nbytes * EXPANSION / TARGET_PARTITION_BYTES))
+    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+        return wanted
+    return current
