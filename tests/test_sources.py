@@ -83,3 +83,26 @@ def test_prediction_sink(spark, workdir):
     assert lines.count("user_id,business_id,prediction") >= 1
     body = sorted(x for x in lines if not x.startswith("user_id"))
     assert body == ["u1,b1,3.5", "u1,b1,6.2"]
+
+
+def test_last_wins_across_splits_and_files(spark, workdir):
+    """File position orders rows even when one file is read by many tasks."""
+    folder = os.path.join(workdir, "users")
+    os.makedirs(folder)
+    lines_a = [json.dumps({"user_id": f"u{i % 50}", "review_count": i}) for i in range(2000)]
+    lines_b = [json.dumps({"user_id": f"u{i % 7}", "review_count": 100000 + i}) for i in range(30)]
+    _write(os.path.join(folder, "part-a.json"), lines_a)
+    _write(os.path.join(folder, "part-b.json"), lines_b)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = files.read_users(spark, folder)
+        assert spark.read.json(folder).rdd.getNumPartitions() > 5  # the files are split
+        got = {r["user_id"]: r["review_count"] for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = {}
+    for line in lines_a + lines_b:  # part-a.json before part-b.json, lines in order
+        rec = json.loads(line)
+        want[rec["user_id"]] = rec["review_count"]
+    assert got == want
