@@ -55,7 +55,7 @@ _TABLES: dict[tuple, DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of ``sf_dir``; one resolved reader per session,
     so a plan that uses a table in several branches lists and parses it once."""
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir), name)
+    key = (id(getattr(spark, "_jsparkSession", spark)), os.path.abspath(sf_dir), name)
     df = _TABLES.get(key)
     if df is None:
         df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
