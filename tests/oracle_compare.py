@@ -39,17 +39,23 @@ def _norm(v):
     return (1, str(v))
 
 
-def _kind(spark_type: str) -> str:
-    t = spark_type.lower()
-    if t in ("bigint", "int", "smallint", "tinyint", "integer", "hugeint", "long"):
-        return "int"
-    if t in ("double", "float", "real"):
-        return "float"
-    if t.startswith("decimal"):
-        return "decimal"
-    if t in ("string", "varchar"):
-        return "str"
-    return t
+_SPARK_TO_DUCK = {
+    "tinyint": "TINYINT",
+    "smallint": "SMALLINT",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "float": "FLOAT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def _kind(type_name: str) -> str:
+    """Exact type, in DuckDB's naming (Spark names are mapped)."""
+    return _SPARK_TO_DUCK.get(type_name, type_name.upper())
 
 
 def compare(spark, sf_dir: str, name: str, query, sql: str) -> tuple[bool, str]:
