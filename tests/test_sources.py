@@ -106,3 +106,11 @@ def test_last_wins_across_splits_and_files(spark, workdir):
         rec = json.loads(line)
         want[rec["user_id"]] = rec["review_count"]
     assert got == want
+
+
+def test_csv_with_windows_line_endings(spark, workdir):
+    p = os.path.join(workdir, "crlf.csv")
+    with open(p, "w", newline="") as f:
+        f.write("user_id,business_id,stars\r\nu1,b1,4.0\r\nu2,b2,1.0\r\n")
+    rows = sorted(tuple(r) for r in files.read_ratings(spark, p).collect())
+    assert rows == [("u1", "b1", 4.0), ("u2", "b2", 1.0)]
