@@ -217,12 +217,13 @@ def load(spark: SparkSession, sf_dir: str, evaluate: bool = False) -> Inputs:
 
     Default: train on all ratings, score the view pairs. ``evaluate``: train on
     the train split, score the hold-out split with its ratings kept, so that
-    the run can report its error. Item averages cover all lineitems of a part
-    in both cases, as a published profile would.
+    the run can report its error; the ratings join is then written once to
+    the shared checkpoint folder and both splits read it. Item averages cover
+    all lineitems of a part in both cases, as a published profile would.
     """
     r = ratings(spark, sf_dir)
     if evaluate:
-        split = with_split(r)
+        split = with_split(r.checkpoint(eager=True))
         train = split.where(F.col("split") == F.lit(TRAIN)).drop("split")
         to_score = split.where(F.col("split") == F.lit(HOLDOUT)).drop("split")
     else:
