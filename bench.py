@@ -60,11 +60,16 @@ def main() -> None:
         params["maxIter"] = int(trees)
     out = os.path.join(tempfile.mkdtemp(prefix="rateforge-bench-"), "predictions")
     t = time.time()
-    res = train_and_score(spark, T.load(spark, sf_dir, evaluate=True), out, params=params)
-    job = round(time.time() - t, 3)
-    times["job_total"] = job
-    for k, v in res.timings.items():
-        times[f"job_{k}"] = round(v, 3)
+    error, rmse = None, None
+    try:
+        res = train_and_score(spark, T.load(spark, sf_dir, evaluate=True), out, params=params)
+        job = round(time.time() - t, 3)
+        times["job_total"] = job
+        for k, v in res.timings.items():
+            times[f"job_{k}"] = round(v, 3)
+        rmse = res.metrics.get("rmse")
+    except Exception as e:  # still report the query times
+        job, error = None, f"{type(e).__name__}: {str(e)[:300]}"
 
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(
@@ -77,8 +82,9 @@ def main() -> None:
                 "sf": sf,
                 "cpus": cpus,
                 "trees": params["maxIter"],
-                "rmse": res.metrics.get("rmse"),
+                "rmse": rmse,
                 "queries_total": round(sum(v for k, v in times.items() if not k.startswith("job_")), 3),
+                **({"error": error} if error else {}),
             }
         )
     )
