@@ -43,7 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared, fault-tolerant folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    as is. Only a local session without it (tests) gets a scratch folder; a
+    cluster session without it is an error, since a machine-local folder would
+    not survive the loss of an executor.
     """
     try:
         sc = spark.sparkContext
@@ -54,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared, fault-tolerant folder (HDFS, object store)")
         configured = tempfile.mkdtemp(prefix="rateforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
