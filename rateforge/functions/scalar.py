@@ -54,14 +54,16 @@ def ordinal(value: Column, codes: dict[str, int]) -> Column:
 
 
 def days_active(joined: str | Column, as_of: str | _dt.date) -> Column:
-    """Whole days from a 'yyyy-MM-dd' date string to ``as_of``.
+    """Whole days from a year-month-day date string to ``as_of``.
 
     Null or empty input gives null. A malformed date also gives null here
     (``try_to_date``); the original job would stop on it instead.
     """
     as_of_date = F.lit(as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of)))
     joined_col = _col(joined)
-    parsed = F.try_to_date(F.nullif(joined_col, F.lit("")), "yyyy-MM-dd")
+    # 'yyyy-M-d' reads one- or two-digit months and days, like the original's
+    # '%Y-%m-%d' parser ("2015-3-4" is a date there too).
+    parsed = F.try_to_date(F.nullif(joined_col, F.lit("")), "yyyy-M-d")
     return F.datediff(as_of_date, parsed)
 
 

@@ -84,7 +84,7 @@ def q_user_profile(spark, sf_dir):
         "user_id",
         F.coalesce(F.col("review_count"), F.lit(0)).cast("long").alias("review_count"),
         F.round("average_stars", AVG).alias("average_stars"),
-        F.try_to_date(F.col("yelping_since"), "yyyy-MM-dd").alias("joined_on"),
+        F.try_to_date(F.col("yelping_since"), "yyyy-M-d").alias("joined_on"),
     )
 
 

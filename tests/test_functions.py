@@ -65,9 +65,11 @@ def test_location(spark):
 
 
 def test_days_active(spark):
-    df = spark.createDataFrame([("2020-01-01",), (None,), ("2020-02-01",), ("",), ("bad",)], "j string")
+    df = spark.createDataFrame(
+        [("2020-01-01",), (None,), ("2020-02-01",), ("",), ("bad",), ("2020-1-1",), ("2020-01-01 10:00:00",)], "j string"
+    )
     got = [r[0] for r in df.select(fx.days_active("j", dt.date(2020, 1, 31))).collect()]
-    assert got == [30, None, -1, None, None]
+    assert got == [30, None, -1, None, None, 30, None]
 
 
 def test_interactions_and_totals(spark):
