@@ -112,17 +112,16 @@ def scan_token_files(spark: SparkSession, path: str, end_id: int = END_ID, block
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     stitched = blocks.select(
         "*",
-        F.coalesce(F.max(base + F.element_at("found", -1)).over(before), F.lit(-1)).alias("last"),
+        F.coalesce(F.max(base + F.try_element_at("found", F.lit(-1))).over(before), F.lit(-1)).alias("last"),
         F.coalesce(F.sum(F.size("found")).over(before), F.lit(0)).alias("closed_before"),
         F.lead("block").over(Window.partitionBy("file").orderBy("block")).isNull().alias("is_last"),
     )
     ends = F.transform("found", lambda x: base + x)
     # A file's ids after its last separator are a document without an end.
-    open_end = F.when(
-        F.col("is_last") & (F.coalesce(F.element_at("found", -1), F.lit(-1)) < F.col("n_ids") - 1)
-        & (F.coalesce(base + F.element_at("found", -1), F.col("last")) < base + F.col("n_ids") - 1),
-        F.array(base + F.col("n_ids")),
-    ).otherwise(F.array().cast("array<long>"))
+    last_end = F.coalesce(base + F.try_element_at("found", F.lit(-1)), F.col("last"))
+    open_end = F.when(F.col("is_last") & (last_end < base + F.col("n_ids") - 1), F.array(base + F.col("n_ids"))).otherwise(
+        F.array().cast("array<long>")
+    )
     closed = F.col("at") < F.size("found")
     return (
         stitched.withColumn("ends", F.concat(ends, open_end))

@@ -1,0 +1,131 @@
+"""Token ids, packing and separator scan against the tokenizer itself."""
+
+from __future__ import annotations
+
+import gzip
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from rateforge.llm import packing, queries, token_files
+from rateforge.llm.tokens import DEFAULT_TOKENIZER, TextEncoder
+
+TOKENIZER = Tokenizer.from_file(DEFAULT_TOKENIZER)
+ENCODER = TextEncoder()
+
+
+def ids_of(text):
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab Zé中1.,'s\n\t\r  *<|>_-\U0001f600"), max_size=40) | st.text(max_size=30))
+def test_ids_equal_the_whole_encoding(text):
+    text = text.encode("utf-8", "ignore").decode()
+    assert np.frombuffer(ENCODER.encode(text), dtype="<u4").tolist() == ids_of(text)
+
+
+def check_packing(rows, docs, capacity=2048):
+    """Every id in one piece, sequences gapless and within the capacity."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[(r.doc_id, r.doc_tokens)].append(r)
+        by_sequence[r.sequence_id].append(r)
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at and r.length > 0
+            at += r.length
+        assert at <= capacity
+    assert len(docs) == sum(1 for r in rows if r.start == 0)
+    assert sum(r.length for r in rows) == sum(len(ids) for _, ids in docs)
+
+
+def test_pack_whole_table(small_docs):
+    docs = [(r.doc_id, ids_of(r.text) + [1]) for r in small_docs.collect()]
+    rows = queries.digests(packing.pack(small_docs)).collect()
+    check_packing(rows, docs)
+    texts = defaultdict(list)
+    for d, ids in docs:
+        texts[d].append(ids)
+    spans = defaultdict(list)
+    for r in rows:
+        ids = next(i for i in texts[r.doc_id] if len(i) == r.doc_tokens)
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+        spans[r.doc_id].append((r.start, r.length))
+    for d, own in spans.items():
+        assert sum(n for _, n in own) == sum(len(i) for i in texts[d])
+
+
+def test_padding_is_small(spark):
+    rows = queries.digests(packing.pack(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))).collect()
+    loads = defaultdict(int)
+    for r in rows:
+        loads[r.sequence_id] += r.length
+    padding = sum(0 if n & (n - 1) == 0 else 2048 - n for n in loads.values())
+    assert padding < 0.02 * sum(loads.values())
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 64), min_size=1, max_size=60))
+def test_windows_hold_every_item_within_capacity(sizes):
+    windows = packing.balanced_windows(sizes, 64)
+    assert sorted(i for w in windows for i in w) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in w) <= 64 for w in windows)
+
+
+def test_differencing_balances():
+    sizes = [8, 7, 6, 5, 4]
+    windows = packing.multiway_differencing(sizes, 2)
+    loads = sorted(sum(s for s, w in zip(sizes, windows) if w == k) for k in range(2))
+    assert loads == [14, 16]  # the known result of the two-way differencing
+    rnd = np.random.default_rng(1)
+    many = rnd.integers(1, 500, 400).tolist()
+    got = packing.multiway_differencing(many, 20)
+    loads = np.bincount(got, weights=many, minlength=20)
+    assert loads.max() - loads.min() <= 3
+
+
+def test_pack_empty_table(small_docs):
+    assert packing.pack(small_docs.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("block", [501, 1 << 20])
+def test_token_counts_whole_table(spark, small_docs, tmp_path, block):
+    path = str(tmp_path / "docs")
+    small_docs.repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    plain = Tokenizer.from_file(DEFAULT_TOKENIZER)
+    plain.encode_special_tokens = True
+    expected = sorted((str(r.doc_id), len(plain.encode(r.text or "", add_special_tokens=False).ids)) for r in docs.collect())
+    got = token_files.token_counts(docs, block=block)
+    assert sorted((str(r.doc_id), r.n_tokens) for r in got.collect()) == expected
+
+
+def test_separator_scan_across_blocks(spark, tmp_path):
+    """Documents that cross, end at and skip over block bounds; an open end; several gzip members; plain files."""
+    end = token_files.END_ID
+    ids = np.array([1, 2, end, end, 5, 6, 7, 8, 9, end, 3], dtype="<u2")
+    (tmp_path / "part-00000-x.bin").write_bytes(ids.tobytes())
+    raw = ids.tobytes()
+    (tmp_path / "part-00001-x.gz").write_bytes(gzip.compress(raw[:9]) + gzip.compress(raw[9:]))
+    (tmp_path / "part-00002-x.bin").write_bytes(np.array([end], dtype="<u2").tobytes())
+    (tmp_path / "part-00003-x.bin").write_bytes(np.array([4, 4, 4, 4], dtype="<u2").tobytes())
+    for block in (1, 2, 3, 4, 5, 100):
+        rows = token_files.scan_token_files(spark, str(tmp_path), block=block).collect()
+        got = defaultdict(list)
+        for r in sorted(rows, key=lambda r: r.document):
+            got[r.file.rsplit("/", 1)[1][:10]].append((r.document, r.start, r.n_tokens, r.closed))
+        both = [(0, 0, 2, True), (1, 3, 0, True), (2, 4, 5, True), (3, 10, 1, False)]
+        assert got["part-00000"] == both and got["part-00001"] == both
+        assert got["part-00002"] == [(0, 0, 0, True)]
+        assert got["part-00003"] == [(0, 0, 4, False)]
+
+
+def test_token_counts_empty(spark, small_docs):
+    assert token_files.token_counts(small_docs.where("false")).count() == 0
