@@ -1,0 +1,70 @@
+"""Chat formatting: exact round trip, merged turns, loss mask."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from rateforge.llm import chat, queries
+
+SCHEMA = "conv_id long, turn long, role string, text string, conv string"
+PIECES = [*chat.CONTROL, chat.JOINER, chat.JOINER * 2, "<", "[", "|im_end|>", "a", " b\n", "é\U0001f600", "", "$1", "\\", "<|im_end|"]
+
+
+def rows_of(conversations):
+    return [(c, i, role, text, "x") for c, turns in conversations.items() for i, (role, text) in enumerate(turns)]
+
+
+def formatted(spark, conversations, seed=0):
+    rows = rows_of(conversations)
+    random.Random(seed).shuffle(rows)
+    out = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))
+    out = out.select("*", chat.read_turns(F.col("formatted")).alias("turns"), chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return {r.conv_id: r for r in out.collect()}
+
+
+def test_round_trip_of_hostile_texts(spark):
+    rnd = random.Random(11)
+    text = lambda: "".join(rnd.choices(PIECES, k=rnd.randint(0, 6)))
+    conversations = {
+        c: [(rnd.choice(["user", "assistant", "assistant", "system", text()]), text()) for _ in range(rnd.randint(1, 9))]
+        for c in range(150)
+    }
+    got = formatted(spark, conversations)
+    for c, turns in conversations.items():
+        assert [(t.role, t.text) for t in got[c].turns] == turns
+        assert got[c].loss == "".join(t for r, t in turns if r == "assistant")
+        inner = re.split("|".join(map(re.escape, (chat.START, chat.SEP, chat.CONT, chat.END))), got[c].formatted)
+        assert not any(control in piece for piece in inner for control in chat.CONTROL)
+
+
+def test_adjacent_turns_of_a_role_merge(spark):
+    got = formatted(spark, {1: [("user", "a"), ("user", "b"), ("assistant", "c"), ("assistant", "d"), ("user", "e")]})[1]
+    assert got.formatted == (
+        "<|im_start|>user<|im_sep|>a<|im_cont|>b<|im_end|><|im_start|>assistant<|im_sep|>c<|im_cont|>d<|im_end|>"
+        "<|im_start|>user<|im_sep|>e<|im_end|>"
+    )
+    assert [got.formatted[s.start : s.start + s.length] for s in got.loss_spans] == ["c", "d"]
+
+
+def test_nulls_ties_and_repeats(spark):
+    rows = [(1, 0, None, None, "x"), (1, None, "user", "first", "x"), (1, 0, "user", "b", "x"), (1, 0, "user", "a", "x"), (1, 0, "user", "a", "x"), (None, 3, "assistant", None, "x")]
+    out = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))
+    got = {r.conv_id: r for r in out.select("conv_id", chat.read_turns(F.col("formatted")).alias("turns")).collect()}
+    assert [(t.role, t.text) for t in got[1].turns] == [("user", "first"), ("", ""), ("user", "a"), ("user", "a"), ("user", "b")]
+    assert [(t.role, t.text) for t in got[None].turns] == [("assistant", "")]
+
+
+def test_long_conversation(spark):
+    turns = [("assistant" if i % 3 else "user", f"{i} " * 20) for i in range(3000)]
+    got = formatted(spark, {5: turns})[5]
+    assert [(t.role, t.text) for t in got.turns] == turns
+
+
+def test_empty_and_native(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert chat.format_conversations(empty).count() == 0
+    plan = queries.op6_chat_format(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|MapIn", plan)

@@ -1,0 +1,87 @@
+"""License scans against brute force, and the expression parser."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from rateforge.llm import licenses as X
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute_base(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(text)
+    places, labels = [], set()
+    for phrase, label in X.BASE.items():
+        p = phrase.split(" ")
+        found = [i for i in range(len(words)) if words[i : i + len(p)] == p]
+        places += found
+        labels |= {label} if found else set()
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels))
+
+
+def test_base_columns_of_the_whole_table(small_docs):
+    rows = small_docs.select("doc_id", "text").collect()
+    expected = sorted((str(r.doc_id), *brute_base(r.text)) for r in rows)
+    got = X.scan_licenses(small_docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    assert sorted((str(r[0]), *r[1:]) for r in got.collect()) == expected
+
+
+def test_base_places_in_random_texts():
+    rnd = random.Random(2)
+    parts = ["under", "the", "MIT", "license", "apache", "version", "2", "cc", "by", "nc", "é", "中", "-", ".", "\n", "x1", "_", "\x00", " "]
+    for _ in range(2000):
+        text = " ".join(rnd.choices(parts, k=rnd.randint(0, 30)))
+        assert X.scan(text)[:5] == brute_base(text)
+
+
+def test_hits_are_whole_words_and_all_count():
+    n, places, first, last, base, labels, score, _ = X.scan("Under the MIT-License, under the mit license! Under the mit licensed.")
+    assert (n, places, first, last, base, labels, score) == (12, 2, 0, 4, "mit", "mit", X.BASE_SCORE)
+    assert X.scan("xcc by nc, CC BY-NC")[1:4] == (1, 3, 3)
+    assert X.scan("é cc by nc é")[1:4] == (1, 1, 1)
+
+
+@pytest.mark.parametrize(
+    ("expression", "ids", "openness"),
+    [
+        ("MIT", {"mit"}, 1.0),
+        ("MIT OR GPL-2.0-only AND Apache-2.0", {"mit", "gpl-2.0-only", "apache-2.0"}, 1.0),
+        ("(MIT OR GPL-2.0-only) AND GPL-3.0+", {"mit", "gpl-2.0-only", "gpl-3.0+"}, 0.4),
+        ("GPL-2.0 WITH Classpath-exception-2.0 OR LGPL-2.1", {"gpl-2.0 with classpath-exception-2.0", "lgpl-2.1"}, 0.6),
+        ("Unknown-1.0 and MIT", {"unknown-1.0", "mit"}, 0.0),
+    ],
+)
+def test_expressions(expression, ids, openness):
+    assert X.evaluate(expression) == (ids, openness)
+
+
+@pytest.mark.parametrize("broken", ["", "MIT OR", "(MIT", "MIT)", "AND MIT", "MIT GPL-2.0", "MIT WITH (GPL-2.0 OR ISC)", "()", "@"])
+def test_broken_expressions(broken):
+    with pytest.raises(X.BrokenExpression):
+        X.evaluate(broken)
+
+
+def test_postfix_order():
+    assert X.to_postfix("a or b and c with d".split()) == ["a", "b", "c", "d", "with", "and", "or"]
+
+
+def test_tags():
+    got = X.scan("/* SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC */ int x;\n")
+    assert got[5] == "apache-2.0,isc,mit" and got[6] == 1.0 and got[7] == 1.0
+    assert X.scan("SPDX-License-Identifier: MIT OR oops OR")[5:7] == ("mit", X.BROKEN_TAG_SCORE)
+    assert X.scan("spdx-license-identifier: nonsense words here")[5:7] == ("", 0.0)
+    assert X.scan("License-Expression: GPL-3.0-only\nmore")[5:] == ("gpl-3.0-only", 1.0, 0.4)
+
+
+def test_defined_cases(docs_of, small_docs):
+    docs = docs_of([(1, None, "a"), (None, "", None), (2, " - ", "b")])
+    rows = X.scan_licenses(docs).collect()
+    assert all(tuple(r)[1:] == (0, 0, None, None, "", "", 0.0, None) for r in rows) and len(rows) == 3
+    assert X.scan_licenses(docs.where("false")).count() == 0
+    assert X.scan_licenses(small_docs).where((F.col("score") < 0) | (F.col("score") > 1)).count() == 0

@@ -1,0 +1,112 @@
+"""The source mix against brute force, and its defined cases."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from rateforge.llm import mixing
+from rateforge.llm.prefix import prefix_sums
+from pyspark.sql import functions as F
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_targets(sizes, weights=(3, 1, 2), share=1.5, stop=2):
+    sources = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(sources)}
+    free, out, budget = set(sources), {}, share * sum(sizes.values())
+    while free:
+        level = budget / sum(weight[s] for s in free)
+        full = {s for s in free if stop * sizes[s] < weight[s] * level}
+        if not full:
+            return out | {s: weight[s] * level for s in free}
+        for s in full:
+            out[s] = stop * sizes[s]
+            budget -= out[s]
+        free -= full
+    return out
+
+
+def words(text):
+    return len(WORD.findall(text or ""))
+
+
+def test_plan_against_brute_force(small_docs):
+    rows = [(r.doc_id, r.source, words(r.text)) for r in small_docs.collect()]
+    sizes = Counter()
+    for _, s, n in rows:
+        sizes[s] += n
+    targets = brute_targets(sizes)
+    got = mixing.plan(small_docs).collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in got) == Counter(rows)
+    taken = Counter()
+    for r in got:
+        assert r.target == pytest.approx(targets[r.source]) and r.source_size == sizes[r.source]
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - targets[s]) <= 1.5 for s in sizes)
+    # within a source: whole epochs, then the order's first documents, one cut
+    for s in sizes:
+        own = sorted((hashlib.md5(str(r.doc_id).encode()).hexdigest() if r.doc_id is not None else "", r) for r in got if r.source == s and r.size)
+        rest = [(r.taken - (min(x.taken // x.size for _, x in own)) * r.size) / r.size for _, r in own]
+        assert all(a >= b for a, b in zip(rest, rest[1:])) or len({r.doc_id for _, r in own}) < len(own)
+
+
+def test_reruns_agree(small_docs):
+    rows = lambda d: sorted(map(str, mixing.plan(d).collect()))
+    assert rows(small_docs) == rows(small_docs.repartition(7))
+
+
+def test_mix_takes_what_the_plan_says(small_docs):
+    planned = defaultdict(int)
+    for r in mixing.plan(small_docs).collect():
+        planned[str(r.doc_id)] += r.taken
+    mixed = mixing.mix(small_docs)
+    assert mixed.columns == small_docs.columns
+    got, texts = defaultdict(int), {str(r.doc_id): r.text for r in small_docs.collect()}
+    for r in mixed.collect():
+        got[str(r.doc_id)] += words(r.text)
+        assert texts[str(r.doc_id)].startswith(r.text) and r.label == 1 and r.key == "clash"
+        assert r.text == texts[str(r.doc_id)] or r.n_chars == len(r.text)
+    assert got == {d: n for d, n in planned.items() if n}
+
+
+def test_one_source_takes_one_and_a_half_epochs(docs_of):
+    docs = docs_of([(i, "one two three four", "only") for i in range(10)])
+    taken = [r.taken for r in mixing.plan(docs).collect()]
+    assert sum(taken) == 60 and sorted(taken) == [4] * 5 + [8] * 5
+
+
+def test_copies_share_a_cut(docs_of):
+    docs = docs_of([(1, "a b c d e", "s")] * 3 + [(2, "x y", "s")])
+    got = mixing.plan(docs).collect()
+    assert len(got) == 4 and abs(sum(r.taken for r in got) - 25.5) <= 2.5
+    assert len({r.taken for r in got if r.doc_id == 1}) == 1
+
+
+def test_no_words_and_empty_tables(docs_of):
+    docs = docs_of([(1, None, None), (None, " ", "a"), (2, "", "b")])
+    assert [(r.size, r.target, r.taken) for r in mixing.plan(docs).collect()] == [(0, 0.0, 0)] * 3
+    assert mixing.mix(docs).count() == 0
+    assert mixing.plan(docs.where("false")).count() == 0 and mixing.mix(docs.where("false")).count() == 0
+
+
+def test_first_words(spark):
+    text = "  one\ttwo  three\nfour "
+    rows = spark.createDataFrame([(text, n) for n in range(1, 6)], "t string, n int")
+    got = [r[0] for r in rows.orderBy("n").select(mixing.first_words(F.col("t"), F.col("n"))).collect()]
+    assert got == ["  one", "  one\ttwo", "  one\ttwo  three", "  one\ttwo  three\nfour", "  one\ttwo  three\nfour"]
+
+
+def test_prefix_sums_of_one_hot_group(spark):
+    rows = spark.range(5000).selectExpr("if(id % 5 = 0, 'b', 'a') as g", "id as k", "id % 7 as v")
+    got = prefix_sums(rows, "g", [F.col("k")], "v", "test-prefix").collect()
+    sums = Counter()
+    for r in sorted(got, key=lambda r: r.k):
+        assert r.before == sums[r.g]
+        sums[r.g] += r.v
+    assert len(got) == 5000

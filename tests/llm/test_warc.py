@@ -1,0 +1,82 @@
+"""WARC archives: write, read back, assemble."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+
+import pytest
+
+from rateforge.llm import warc
+
+SCHEMA = "page_id long, url string, html string, digest string, kept_id long"
+BIG = "é" * 600
+
+
+def captures(spark, rows, path):
+    pages = spark.createDataFrame([(*r, "x", 5) for r in rows], SCHEMA)
+    warc.write_archives(pages, path)
+    return warc.assemble(warc.read_records(spark, path))
+
+
+def expected(rows):
+    payloads = [(i, (h or "").encode()) for i, _, h in rows]
+    out = []
+    for i, p in payloads:
+        ids = [j for j, q in payloads if q == p and j is not None]
+        kept = max(ids, default=None) if len(p) >= 1000 and len([1 for _, q in payloads if q == p]) > 1 else None
+        revisit = kept is not None and i != kept
+        out.append((str(i), len(p), hashlib.sha1(p).hexdigest(), "revisit" if revisit else "response", kept if revisit else None))
+    return sorted(out, key=str)
+
+
+def test_round_trip(spark, tmp_path):
+    rows = [
+        (1, "http://a.example/x?y=1", BIG), (2, "http://a.example", BIG), (7, "ftp", BIG), (3, None, None), (4, "http://b/\r\nSet: x", ""),
+        (5, "http://c/", "small"), (6, "http://c/", "small"), (None, "http://d/", BIG), (8, "http://e/", "\r\n\r\nWARC/1.1\r\n\r\n" * 50 + "\r\n"),
+        (9, "http://e/", "a\r\n\r\n" * 400), (9, "http://e/", "a\r\n\r\n" * 400), (10, "http://f/", "line\n" * 30_000),
+    ]
+    got = warc.page_digests(captures(spark, rows, str(tmp_path / "w"))).collect()
+    assert sorted(((str(r.page_id), *r[1:]) for r in got), key=str) == expected(rows)
+
+
+def test_nested_rows(spark, tmp_path):
+    rows = [(1, "http://a.example/x?y=1", BIG), (2, "http://b.example", BIG)]
+    got = {r.response["headers"]["warc-target-uri"]: r for r in captures(spark, rows, str(tmp_path / "w")).collect()}
+    one, two = got["http://a.example/x?y=1"], got["http://b.example"]
+    assert (one.type, two.type) == ("revisit", "response")
+    assert bytes(two.response.payload).decode() == BIG and two.response.http.startswith("HTTP/1.1 200 OK")
+    assert one.response["headers"]["warc-refers-to"] == two.response["headers"]["warc-record-id"]
+    assert one.request.http == "GET /x?y=1 HTTP/1.1\r\nHost: a.example" and two.request.http.startswith("GET / ")
+    assert bytes(one["metadata"].payload) == b"page-id: 1\r\n"
+    assert one.request["headers"]["warc-concurrent-to"] == one.response["headers"]["warc-record-id"]
+
+
+def test_response_may_name_the_request(spark, tmp_path):
+    """Archives in which response and metadata point at the request; several gzip members; blocks that end in line breaks."""
+
+    def record(kind, name, to, block):
+        head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{name}>\r\n" + (f"WARC-Concurrent-To: <{to}>\r\n" if to else "")
+        return head.encode() + f"Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    parts = [
+        record("warcinfo", "w", None, b"software: x\r\n"),
+        record("request", "q", None, b"GET / HTTP/1.1\r\nHost: h\r\n\r\n"),
+        record("response", "p", "q", b"HTTP/1.1 200 OK\r\n\r\nbody \xff\x00\r\n\r\n"),
+        record("metadata", "m", "q", b""),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts))
+    (row,) = warc.assemble(warc.read_records(spark, str(tmp_path))).collect()
+    assert bytes(row.response.payload) == b"body \xff\x00\r\n\r\n" and row.request.id == "<q>" and row["metadata"].id == "<m>"
+
+
+def test_broken_archive_is_an_error(spark, tmp_path):
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 99\r\n\r\nshort\r\n\r\n"))
+    with pytest.raises(Exception, match="cut short"):
+        warc.read_records(spark, str(tmp_path)).collect()
+
+
+def test_empty_table(spark, tmp_path):
+    pages = spark.createDataFrame([], SCHEMA)
+    warc.write_archives(pages, str(tmp_path / "w"))
+    assert warc.page_digests(warc.assemble(warc.read_records(spark, str(tmp_path / "w")))).count() == 0
