@@ -37,7 +37,7 @@ BLOCK = 1 << 20
 
 
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
-    encode = encoder(tokenizer, "<u2", True).encode
+    encode = encoder(tokenizer, 2, True).encode
     for batch in batches:
         ids = [encode(text) for text in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(ids, type=pa.binary())], names=["ids"])
