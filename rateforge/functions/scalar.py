@@ -42,9 +42,13 @@ def tri_state(value: Column) -> Column:
     return F.when(value == F.lit(FLAG_TRUE), F.lit(1)).when(value == F.lit(FLAG_FALSE), F.lit(0))
 
 
+# What the original's number parser accepts of digits, points and exponents.
+DECIMAL = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def price_tier(value: Column) -> Column:
-    """A numeric string as double; anything that is not a number -> null."""
-    return value.try_cast("double")
+    """A decimal string as double; anything else -> null ("2d" and "NaN" included)."""
+    return F.when(value.rlike(DECIMAL), F.trim(value).try_cast("double"))
 
 
 def ordinal(value: Column, codes: dict[str, int]) -> Column:
@@ -56,35 +60,31 @@ def ordinal(value: Column, codes: dict[str, int]) -> Column:
 def days_active(joined: str | Column, as_of: str | _dt.date) -> Column:
     """Whole days from a year-month-day date string to ``as_of``.
 
-    Null or empty input gives null. A malformed date also gives null here
-    (``try_to_date``); the original job would stop on it instead.
+    Null or empty input gives null; any other text that is not such a date
+    (one with a time part, for instance) stops the job.
     """
     as_of_date = F.lit(as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of)))
-    joined_col = _col(joined)
+    joined_col = F.nullif(_col(joined), F.lit(""))
     # 'yyyy-M-d' reads one- or two-digit months and days, like the original's
     # '%Y-%m-%d' parser ("2015-3-4" is a date there too).
-    parsed = F.try_to_date(F.nullif(joined_col, F.lit("")), "yyyy-M-d")
-    return F.datediff(as_of_date, parsed)
-
-
-def slot_number(key: Column) -> Column:
-    """Trailing decimal digits of a time-slot key as an integer (null if none)."""
-    return F.regexp_extract(key, r"(\d+)$", 1).try_cast("long")
+    parsed = F.try_to_date(joined_col, "yyyy-M-d")
+    broken = F.raise_error(F.concat(F.lit("not a date: "), joined_col))
+    return F.datediff(as_of_date, F.when(joined_col.isNotNull() & parsed.isNull(), broken).otherwise(parsed))
 
 
 def nonzero_slot(key: Column) -> Column:
-    """True when the trailing digits of a key hold a non-zero number.
+    """F8: True when the trailing digits of a time-slot key hold a non-zero number.
 
-    Same test as ``slot_number(key) != 0`` but exact for digit runs of any
-    length (no integer overflow) and false for keys without digits.
+    Exact for digit runs of any length (no integer overflow). A key without
+    trailing digits stops the job.
     """
-    return F.coalesce(key.rlike(r"[1-9][0-9]*$"), F.lit(False))
+    broken = F.raise_error(F.concat(F.lit("a time slot without a number: "), key))
+    return F.when(key.rlike(r"[0-9]$"), key.rlike(r"[1-9][0-9]*$")).otherwise(broken)
 
 
 def visits(time_map: str | Column) -> Column:
     """Sum of the counts of a slot -> count map, skipping slots numbered 0.
 
-    A key without trailing digits counts as slot 0 and is skipped as well.
     An empty map sums to 0; a null map stays null.
     """
     kept = F.map_filter(_col(time_map), lambda k, v: nonzero_slot(k))

@@ -27,6 +27,7 @@ INPUT_FILES = {
 # The ratings and pair CSVs are positional: user, item[, rating]; see
 # sources.files. The JSON sources:
 
+# The compliment counters of a user, names of the input file.
 COMPLIMENT_FIELDS = [
     "compliment_hot",
     "compliment_more",
@@ -41,6 +42,7 @@ COMPLIMENT_FIELDS = [
     "compliment_photos",
 ]
 
+# The interaction counters of a user, names of the input file.
 INTERACTION_FIELDS = ["useful", "funny", "cool", "fans"]
 
 USERS_JSON = T.StructType(
@@ -125,6 +127,9 @@ ORDINAL_ATTRIBUTES = [
 ]
 ORDINAL_COLUMNS = [c for c, _, _ in ORDINAL_ATTRIBUTES]
 
+# Every attribute that a feature reads.
+ATTRIBUTE_KEYS = [k for _, k in FLAG_ATTRIBUTES] + [PRICE_ATTRIBUTE] + [k for _, k, _ in ORDINAL_ATTRIBUTES]
+
 # Fixed value: default average for the unknown side of a half-known pair.
 COLD_START_AVERAGE = 3.0
 

@@ -1,19 +1,27 @@
 """File sources (ratings and pair CSVs, profile JSON lines) and the prediction sink.
 
-All readers use explicit schemas and return the canonical entity columns
-(``item_id`` instead of ``business_id``). Keyed sources keep one row per key,
-the last one in file order, which is what a driver-side dict built from the
-file would hold.
+Each source is read in two steps: lines, with their place in the files, and a
+parser over lines. The parsers are strict: a line that is not JSON, a value of
+the wrong type, or a required key that is absent stops the job with an error
+that names the line, as the original job would stop. All parsers return the
+canonical entity columns (``item_id`` instead of ``business_id``). Keyed
+sources keep one row per key, the last one in file order, which is what a
+driver-side dict built from the file would hold.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..operators.dedupe import last_per_key
 
+#: The column of a line's text, and of its place in the files.
+LINE = "value"
+ORDER = "_seq"
+
 
 def file_order() -> Column:
     """An orderable marker of a row's position in the input files.
@@ -29,88 +37,173 @@ def file_order() -> Column:
     )
 
 
-def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a CSV file(s) without every line equal to the first line, split on ','.
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, _seq): the lines of the files under ``path`` with their place."""
+    return spark.read.text(path).select(LINE, file_order().alias(ORDER))
+
+
+def _stop(reason: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{reason}: "), F.coalesce(F.substring(LINE, 1, 200), F.lit("null"))))
+
+
+# --- CSV ---------------------------------------------------------------------
+
 
-    No quoting rules apply: a comma always separates fields. Surrounding
-    whitespace of a line is stripped first.
+def csv_fields(lines: DataFrame, header: str | None) -> DataFrame:
+    """Lines other than the header, split on ',' (``f``), beside the line itself.
+
+    Every line equal to the header goes. No quoting rules apply: a comma
+    always separates fields. Surrounding white space of a line is stripped.
     """
-    lines = spark.read.text(path)
-    header = lines.first()
     if header is not None:
-        lines = lines.where(F.col("value") != F.lit(header["value"]))
-    stripped = F.regexp_replace(F.col("value"), r"^\s+|\s+$", "")
-    return lines.select(F.split(stripped, ",").alias("f"))
+        lines = lines.where(F.col(LINE) != F.lit(header))
+    stripped = F.regexp_replace(F.col(LINE), r"^\s+|\s+$", "")
+    return lines.select(LINE, F.split(stripped, ",").alias("f"))
 
 
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """(user_id, item_id, rating). A rating that is not a number fails the read
-    under ANSI mode, like the original parser."""
-    f = F.col("f")
-    return _csv_lines(spark, path).select(
-        f.getItem(0).alias("user_id"),
-        f.getItem(1).alias("item_id"),
-        f.getItem(2).cast("double").alias("rating"),
+def first_line(lines: DataFrame) -> str | None:
+    row = lines.select(LINE).first()
+    return row[LINE] if row is not None else None
+
+
+def _field(number: int) -> Column:
+    value = F.get("f", F.lit(number))
+    return F.when(value.isNull(), _stop("too few fields")).otherwise(value)
+
+
+def _rating() -> Column:
+    number = F.trim(_field(2)).try_cast("double")
+    return F.when(number.isNull(), _stop("not a rating")).otherwise(number)
+
+
+def parse_ratings(lines: DataFrame, header: str | None = None) -> DataFrame:
+    """(user_id, item_id, rating)."""
+    return csv_fields(lines, header).select(
+        _field(0).alias("user_id"), _field(1).alias("item_id"), _rating().alias("rating")
     )
 
 
-def read_pairs(spark: SparkSession, path: str, with_rating: bool = False) -> DataFrame:
+def parse_pairs(lines: DataFrame, header: str | None = None, with_rating: bool = False) -> DataFrame:
     """(user_id, item_id) of every scoring line, duplicates kept; further
     columns are ignored unless ``with_rating`` keeps the third as a label."""
-    f = F.col("f")
-    cols = [f.getItem(0).alias("user_id"), f.getItem(1).alias("item_id")]
+    columns = [_field(0).alias("user_id"), _field(1).alias("item_id")]
     if with_rating:
-        cols.append(f.getItem(2).cast("double").alias("rating"))
-    return _csv_lines(spark, path).select(*cols)
+        columns.append(_rating().alias("rating"))
+    return csv_fields(lines, header).select(*columns)
 
 
-def _json(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+def read_ratings(spark: SparkSession, path: str) -> DataFrame:
+    lines = read_lines(spark, path)
+    return parse_ratings(lines, first_line(lines))
 
 
-def read_users(spark: SparkSession, path: str, dedupe: bool = True) -> DataFrame:
-    """S3: user profiles, one row per user_id (last wins)."""
-    df = _json(spark, path, S.USERS_JSON)
-    if dedupe:
-        df = last_per_key(df.withColumn("_seq", file_order()), ["user_id"], "_seq")
-    return df
+def read_pairs(spark: SparkSession, path: str, with_rating: bool = False) -> DataFrame:
+    lines = read_lines(spark, path)
+    return parse_pairs(lines, first_line(lines), with_rating)
 
 
-def read_items(spark: SparkSession, path: str, dedupe: bool = True) -> DataFrame:
-    """Item profiles with the attribute map, one row per item_id (last wins)."""
-    df = _json(spark, path, S.ITEMS_JSON).withColumnRenamed("business_id", "item_id")
-    if dedupe:
-        df = last_per_key(df.withColumn("_seq", file_order()), ["item_id"], "_seq")
-    return df
+# --- JSON lines --------------------------------------------------------------
 
 
-def read_visits(spark: SparkSession, path: str, dedupe: bool = True) -> DataFrame:
-    """(item_id, time map of slot -> count), one row per item_id (last wins)."""
-    df = _json(spark, path, S.VISITS_JSON).withColumnRenamed("business_id", "item_id")
-    if dedupe:
-        df = last_per_key(df.withColumn("_seq", file_order()), ["item_id"], "_seq")
-    return df
+def parse_json(lines: DataFrame, schema: T.StructType, required: list[str], present: list[str] | None = None) -> DataFrame:
+    """The fields of ``schema`` from JSON lines, and ``_seq`` if the lines have it.
 
+    ``required`` fields must hold a value; ``present`` ones must be in the
+    line but may be null there. Anything else may be absent.
+    """
+    rows = lines.withColumn("_json", F.from_json(LINE, schema, {"mode": "FAILFAST"}))
+    columns = []
+    for field in schema.fieldNames():
+        value = F.col("_json").getField(field)
+        if field in required:
+            # also null when the line holds no object at all
+            value = F.when(value.isNull(), _stop(f"no {field}")).otherwise(value)
+        elif field in (present or []):
+            absent = ~F.coalesce(F.array_contains(F.json_object_keys(LINE), field), F.lit(False))
+            value = F.when(value.isNull() & absent, _stop(f"no {field}")).otherwise(value)
+        columns.append(value.alias(field))
+    order = [ORDER] if ORDER in lines.columns else []
+    return rows.select(*columns, *order)
 
-def read_tips(spark: SparkSession, path: str) -> DataFrame:
-    """Every tip row (user_id, item_id, likes) with its file position ``_seq``."""
-    return (
-        _json(spark, path, S.TIPS_JSON)
-        .withColumnRenamed("business_id", "item_id")
-        .withColumn("_seq", file_order())
+
+def parse_users(lines: DataFrame) -> DataFrame:
+    """S3: user profiles, a row per line."""
+    return parse_json(lines, S.USERS_JSON, ["user_id", *S.INTERACTION_FIELDS, *S.COMPLIMENT_FIELDS])
+
+
+def parse_items(lines: DataFrame) -> DataFrame:
+    """Item profiles with the attribute map, a row per line."""
+    return parse_json(lines, S.ITEMS_JSON, ["business_id"], ["is_open"]).withColumnRenamed("business_id", "item_id")
+
+
+def parse_visits(lines: DataFrame) -> DataFrame:
+    """(item_id, time map of slot -> count), a row per line."""
+    return parse_json(lines, S.VISITS_JSON, ["business_id", "time"]).withColumnRenamed("business_id", "item_id")
+
+
+def parse_tips(lines: DataFrame) -> DataFrame:
+    """Every tip (user_id, item_id, likes) with its place ``_seq``."""
+    return parse_json(lines, S.TIPS_JSON, ["user_id", "business_id", "likes"]).withColumnRenamed("business_id", "item_id")
+
+
+def parse_photos(lines: DataFrame) -> DataFrame:
+    """(item_id), one row per photo."""
+    rows = parse_json(lines, S.PHOTOS_JSON, ["business_id"]).withColumnRenamed("business_id", "item_id")
+    return rows.select("item_id")
+
+
+def latest_items(rows: DataFrame) -> DataFrame:
+    """One row per item: the last one, but the location of the last one that has both coordinates.
+
+    Attributes that no feature reads are left out before the rows are shuffled.
+    """
+    used = [F.lit(k) for k in S.ATTRIBUTE_KEYS]
+    rest = ["review_count", "stars", "is_open"]
+    both = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    slim = rows.withColumn("attributes", F.map_filter("attributes", lambda k, _: k.isin(used)))
+    last = slim.groupBy("item_id").agg(
+        F.max_by(F.struct(*rest, "attributes"), ORDER).alias("_last"),
+        F.max_by(F.struct("latitude", "longitude"), F.when(both, F.col(ORDER))).alias("_place"),
     )
+    return last.select(
+        "item_id", *[F.col("_last").getField(c).alias(c) for c in rest],
+        F.col("_place.latitude").alias("latitude"), F.col("_place.longitude").alias("longitude"),
+        F.col("_last.attributes").alias("attributes"),
+    )
+
+
+def read_users(spark: SparkSession, path: str) -> DataFrame:
+    """S3: one row per user_id (last wins)."""
+    return last_per_key(parse_users(read_lines(spark, path)), ["user_id"], ORDER)
+
+
+def read_items(spark: SparkSession, path: str) -> DataFrame:
+    """One row per item_id (see ``latest_items``)."""
+    return latest_items(parse_items(read_lines(spark, path)))
+
+
+def read_visits(spark: SparkSession, path: str) -> DataFrame:
+    """One row per item_id (last wins)."""
+    return last_per_key(parse_visits(read_lines(spark, path)), ["item_id"], ORDER)
+
+
+def read_tips(spark: SparkSession, path: str) -> DataFrame:
+    return parse_tips(read_lines(spark, path))
 
 
 def read_photos(spark: SparkSession, path: str) -> DataFrame:
-    """One row per photo, (item_id)."""
-    return _json(spark, path, S.PHOTOS_JSON).withColumnRenamed("business_id", "item_id")
+    return parse_photos(read_lines(spark, path))
+
+
+# --- sink --------------------------------------------------------------------
 
 
 def write_predictions(predictions: DataFrame, path: str, item_header: str = "business_id") -> None:
     """CSV with header user_id,<item_header>,prediction.
 
     Written as a directory of part files by the executors; each row carries
-    its own keys, so no positional re-join is needed. Values are not clipped.
+    its own keys, so no positional re-join is needed (the order of the input
+    lines is not kept). Values are not clipped.
     """
     (
         predictions.select(

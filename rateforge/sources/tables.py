@@ -1,7 +1,9 @@
 """Rating-domain inputs derived from the TPC-H-style test tables.
 
 The test data holds no ratings or profiles, so each entity is defined as a
-Spark job over the given tables (every definition scales with them):
+Spark job over the given tables (every definition scales with them). The job
+makes the lines that an input file would hold (CSV or JSON text), and the
+parsers of ``sources.files`` read them:
 
 ratings   lineitem joined to orders: user = o_custkey, item = l_partkey,
           rating = floor((l_quantity - 1) / 10) + 1, i.e. 1..5
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.evaluation import HOLDOUT, TRAIN, with_split
+from . import files, shared
 from .bundle import Inputs
 
 AS_OF = _dt.date(2002, 1, 1)
@@ -55,7 +58,7 @@ _TABLES: dict[tuple, DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of ``sf_dir``; one resolved reader per session,
     so a plan that uses a table in several branches lists and parses it once."""
-    key = (id(getattr(spark, "_jsparkSession", spark)), os.path.abspath(sf_dir), name)
+    key = (spark.sparkContext.applicationId, id(spark._jsparkSession), sf_dir, name)
     df = _TABLES.get(key)
     if df is None:
         df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -63,6 +66,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def _csv(*columns: Column) -> Column:
+    """A CSV line."""
+    return F.concat_ws(",", *columns).alias(files.LINE)
+
+
+def _json(**fields: Column) -> Column:
+    """A JSON line; null fields are left out."""
+    return F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()])).alias(files.LINE)
+
+
+def _with_ids(rows: DataFrame) -> DataFrame:
+    """The parsers' text ids as the tables' integer ids."""
+    ids = {c: F.col(c).cast("long") for c in ("user_id", "item_id") if c in rows.columns}
+    return rows.withColumns(ids)
+
+
 def event_item(props: str | Column = "props") -> Column:
     """Item key of an event: the integer ``k`` of its JSON properties."""
     c = F.col(props) if isinstance(props, str) else props
@@ -77,9 +96,9 @@ def rating_of_quantity(quantity: str = "l_quantity") -> Column:
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return li.join(od, li.l_orderkey == od.o_orderkey, "inner").select(
-        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"), rating_of_quantity().alias("rating")
-    )
+    joined = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    lines = joined.select(_csv(F.col("o_custkey"), F.col("l_partkey"), rating_of_quantity()))
+    return _with_ids(files.parse_ratings(lines))
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,19 +121,18 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("user_id")
         .agg(*[F.count_if(F.col("event_type") == F.lit(t)).alias(name) for name, t in EVENT_COUNTERS])
     )
-    compliments = [((F.col("user_id") * F.lit(j)) % 7).cast("long").alias(c) for j, c in enumerate(S.COMPLIMENT_FIELDS, 1)]
-    return (
-        cust.join(per_user, "user_id", "inner")
-        .join(events, "user_id", "left")
-        .select(
-            "user_id",
-            "review_count",
-            "average_stars",
-            F.date_format("_first", "yyyy-MM-dd").alias("yelping_since"),
-            *[F.coalesce(F.col(name), F.lit(0)).cast("long").alias(name) for name, _ in EVENT_COUNTERS],
-            *compliments,
-        )
+    counters = {name: F.coalesce(F.col(name), F.lit(0)).cast("long") for name, _ in EVENT_COUNTERS}
+    compliments = {c: ((F.col("user_id") * F.lit(j)) % 7).cast("long") for j, c in enumerate(S.COMPLIMENT_FIELDS, 1)}
+    line = _json(
+        user_id=F.col("user_id"),
+        review_count=F.col("review_count"),
+        average_stars=F.col("average_stars"),
+        yelping_since=F.date_format("_first", "yyyy-MM-dd"),
+        **counters,
+        **compliments,
     )
+    lines = cust.join(per_user, "user_id", "inner").join(events, "user_id", "left").select(line)
+    return _with_ids(files.parse_users(lines))
 
 
 def attribute_entries() -> list[Column]:
@@ -152,20 +170,22 @@ def attribute_entries() -> list[Column]:
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_partkey").alias("item_id"))
+        .groupBy(F.col("l_partkey").alias("part"))
         .agg(F.count(F.lit(1)).alias("_n"), F.avg(rating_of_quantity()).alias("stars"))
     )
     parts = table(spark, sf_dir, "part").where(F.col("p_size") <= F.lit(MAX_KNOWN_SIZE))
     entries = F.filter(F.array(*attribute_entries()), lambda e: e["v"].isNotNull())
-    return parts.join(stats, parts.p_partkey == stats.item_id, "left").select(
-        F.col("p_partkey").alias("item_id"),
-        F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("review_count"),
-        F.col("stars"),
-        (F.col("p_partkey") % 4 != 0).cast("int").alias("is_open"),
-        F.when(F.col("p_partkey") % 10 != 0, F.col("p_retailprice") - F.lit(945.0)).alias("latitude"),
-        (F.col("p_size") * 7 - 180).cast("double").alias("longitude"),
-        F.map_from_entries(entries).alias("attributes"),
+    line = _json(
+        business_id=F.col("p_partkey"),
+        review_count=F.coalesce(F.col("_n"), F.lit(0)).cast("long"),
+        stars=F.col("stars"),
+        is_open=(F.col("p_partkey") % 4 != 0).cast("int"),
+        latitude=F.when(F.col("p_partkey") % 10 != 0, F.col("p_retailprice") - F.lit(945.0)),
+        longitude=(F.col("p_size") * 7 - 180).cast("double"),
+        attributes=F.map_from_entries(entries),
     )
+    lines = parts.join(stats, parts.p_partkey == stats.part, "left").select(line)
+    return _with_ids(files.parse_items(lines))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,39 +197,30 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     slot = F.concat_ws("-", F.date_format("ts", "E"), F.hour("ts").cast("string"))
     per_slot = (
         _events(spark, sf_dir)
-        .select(event_item().alias("item_id"), slot.alias("slot"))
-        .groupBy("item_id", "slot")
+        .select(event_item().alias("item"), slot.alias("slot"))
+        .groupBy("item", "slot")
         .agg(F.count(F.lit(1)).cast("int").alias("n"))
     )
-    return per_slot.groupBy("item_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("time")
-    )
+    time = F.map_from_entries(F.collect_list(F.struct("slot", "n")))
+    lines = per_slot.groupBy("item").agg(time.alias("time")).select(_json(business_id=F.col("item"), time=F.col("time")))
+    return _with_ids(files.parse_visits(lines))
 
 
 def tips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _events(spark, sf_dir)
-        .where(F.col("event_type") == F.lit("click"))
-        .select(
-            "user_id",
-            event_item().alias("item_id"),
-            F.floor("value").cast("long").alias("likes"),
-            F.struct("ts", "event_id").alias("_seq"),
-        )
-    )
+    clicks = _events(spark, sf_dir).where(F.col("event_type") == F.lit("click"))
+    line = _json(user_id=F.col("user_id"), business_id=event_item(), likes=F.floor("value").cast("long"))
+    return _with_ids(files.parse_tips(clicks.select(line, F.struct("ts", "event_id").alias(files.ORDER))))
 
 
 def photos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).where(F.col("event_type") == F.lit("view")).select(event_item().alias("item_id"))
+    views = _events(spark, sf_dir).where(F.col("event_type") == F.lit("view"))
+    return _with_ids(files.parse_photos(views.select(_json(business_id=event_item()))))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs to score: (user, item) of every view event, duplicates kept."""
-    return (
-        _events(spark, sf_dir)
-        .where(F.col("event_type") == F.lit("view"))
-        .select("user_id", event_item().alias("item_id"))
-    )
+    views = _events(spark, sf_dir).where(F.col("event_type") == F.lit("view"))
+    return _with_ids(files.parse_pairs(views.select(_csv(F.col("user_id"), event_item()))))
 
 
 def load(spark: SparkSession, sf_dir: str, evaluate: bool = False) -> Inputs:
@@ -218,12 +229,12 @@ def load(spark: SparkSession, sf_dir: str, evaluate: bool = False) -> Inputs:
     Default: train on all ratings, score the view pairs. ``evaluate``: train on
     the train split, score the hold-out split with its ratings kept, so that
     the run can report its error; the ratings join is then written once to
-    the shared checkpoint folder and both splits read it. Item averages cover
+    the shared folder and both splits read it. Item averages cover
     all lineitems of a part in both cases, as a published profile would.
     """
     r = ratings(spark, sf_dir)
     if evaluate:
-        split = with_split(r.checkpoint(eager=True))
+        split = with_split(shared.materialize(r, "ratings"))
         train = split.where(F.col("split") == F.lit(TRAIN)).drop("split")
         to_score = split.where(F.col("split") == F.lit(HOLDOUT)).drop("split")
     else:

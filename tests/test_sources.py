@@ -6,8 +6,13 @@ import glob
 import json
 import os
 
+import pytest
+
+from rateforge.schemas import COMPLIMENT_FIELDS
 from rateforge.sources import files
 
+COUNTERS = {c: 0 for c in ["useful", "funny", "cool", "fans", *COMPLIMENT_FIELDS]}
+
 
 def _write(path, lines):
     with open(path, "w") as f:
@@ -34,9 +39,9 @@ def test_pairs_keep_duplicates_and_ignore_extra_columns(spark, workdir):
 
 def test_users_last_row_per_key_wins(spark, workdir):
     recs = [
-        {"user_id": "u1", "review_count": 3, "average_stars": 4.5, "yelping_since": "2015-01-01", "useful": 1, "funny": 0, "cool": 0, "fans": 0},
-        {"user_id": "u2", "average_stars": None},
-        {"user_id": "u1", "review_count": 7, "average_stars": 2.5, "yelping_since": "2016-01-01", "useful": 2, "funny": 0, "cool": 0, "fans": 0},
+        {"user_id": "u1", "review_count": 3, "average_stars": 4.5, "yelping_since": "2015-01-01", **COUNTERS},
+        {"user_id": "u2", "average_stars": None, **COUNTERS},
+        {"user_id": "u1", "review_count": 7, "average_stars": 2.5, "yelping_since": "2016-01-01", **COUNTERS},
     ]
     p = _write(os.path.join(workdir, "user.json"), [json.dumps(r) for r in recs])
     df = files.read_users(spark, p)
@@ -53,10 +58,10 @@ def test_items_attributes_as_map(spark, workdir):
     p = _write(os.path.join(workdir, "business.json"), [json.dumps(r) for r in recs])
     df = files.read_items(spark, p)
     got = {r["item_id"]: r["attributes"] for r in df.collect()}
-    assert got["b1"]["BikeParking"] == "True"
-    assert got["b1"]["NoiseLevel"] == "u'loud'"
-    assert json.loads(got["b1"]["Ambience"]) == {"romantic": False}
-    assert got["b2"] is None
+    assert got == {"b1": {"BikeParking": "True", "NoiseLevel": "u'loud'"}, "b2": None}  # only what a feature reads
+    rows = files.parse_items(files.read_lines(spark, p)).collect()
+    every = {r["item_id"]: r["attributes"] for r in rows}
+    assert json.loads(every["b1"]["Ambience"]) == {"romantic": False}
 
 
 def test_visits_tips_photos(spark, workdir):
@@ -89,15 +94,15 @@ def test_last_wins_across_splits_and_files(spark, workdir):
     """File position orders rows even when one file is read by many tasks."""
     folder = os.path.join(workdir, "users")
     os.makedirs(folder)
-    lines_a = [json.dumps({"user_id": f"u{i % 50}", "review_count": i}) for i in range(2000)]
-    lines_b = [json.dumps({"user_id": f"u{i % 7}", "review_count": 100000 + i}) for i in range(30)]
+    lines_a = [json.dumps({"user_id": f"u{i % 50}", "review_count": i, **COUNTERS}) for i in range(2000)]
+    lines_b = [json.dumps({"user_id": f"u{i % 7}", "review_count": 100000 + i, **COUNTERS}) for i in range(30)]
     _write(os.path.join(folder, "part-a.json"), lines_a)
     _write(os.path.join(folder, "part-b.json"), lines_b)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         df = files.read_users(spark, folder)
-        assert spark.read.json(folder).rdd.getNumPartitions() > 5  # the files are split
+        assert spark.read.text(folder).rdd.getNumPartitions() > 5  # the files are split
         got = {r["user_id"]: r["review_count"] for r in df.collect()}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -114,3 +119,74 @@ def test_csv_with_windows_line_endings(spark, workdir):
         f.write("user_id,business_id,stars\r\nu1,b1,4.0\r\nu2,b2,1.0\r\n")
     rows = sorted(tuple(r) for r in files.read_ratings(spark, p).collect())
     assert rows == [("u1", "b1", 4.0), ("u2", "b2", 1.0)]
+
+
+def _item(**fields):
+    return {"business_id": "b1", "is_open": 1, **fields}
+
+
+def test_location_is_the_last_one_with_both_coordinates(spark, workdir):
+    recs = [_item(latitude=1.5, longitude=2.5, stars=1.0), _item(latitude=None, longitude=9.0, stars=4.0), _item(longitude=3.0, is_open=None)]
+    p = _write(os.path.join(workdir, "business.json"), [json.dumps(r) for r in recs])
+    (row,) = files.read_items(spark, p).collect()
+    assert (row.latitude, row.longitude, row.stars, row.is_open) == (1.5, 2.5, None, None)
+
+
+USER = {"user_id": "u", **COUNTERS}
+BROKEN = [
+    (files.read_users, "not json at all"),
+    (files.read_users, ""),
+    (files.read_users, "null"),
+    (files.read_users, json.dumps({**USER, "review_count": "x"})),
+    (files.read_users, json.dumps({**USER, "average_stars": "high"})),
+    (files.read_users, json.dumps({k: v for k, v in USER.items() if k != "useful"})),
+    (files.read_users, json.dumps({k: v for k, v in USER.items() if k != "compliment_note"})),
+    (files.read_users, json.dumps({**USER, "fans": None})),
+    (files.read_users, json.dumps({k: v for k, v in USER.items() if k != "user_id"})),
+    (files.read_items, json.dumps({"business_id": "b", "stars": 3.0})),
+    (files.read_items, json.dumps({"is_open": 1})),
+    (files.read_items, json.dumps({"business_id": "b", "is_open": "yes"})),
+    (files.read_items, '{"business_id": "b", "is_open": 1'),
+    (files.read_visits, json.dumps({"business_id": "b"})),
+    (files.read_visits, json.dumps({"business_id": "b", "time": {"Fri-1": "many"}})),
+    (files.read_tips, json.dumps({"user_id": "u", "business_id": "b"})),
+    (files.read_tips, json.dumps({"user_id": "u", "business_id": "b", "likes": "3"})),
+    (files.read_photos, json.dumps({"photo_id": "p"})),
+    (files.read_photos, "[broken"),
+    (files.read_ratings, "u1,b1"),
+    (files.read_ratings, "u1,b1,good"),
+    (files.read_ratings, ""),
+    (files.read_pairs, "u1"),
+]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(("reader", "line"), BROKEN)
+def test_broken_input_stops_the_job(spark, workdir, reader, line, ansi):
+    good = {
+        files.read_users: json.dumps(USER),
+        files.read_items: json.dumps({"business_id": "a", "is_open": 0}),
+        files.read_visits: json.dumps({"business_id": "a", "time": {}}),
+        files.read_tips: json.dumps({"user_id": "u", "business_id": "a", "likes": 1}),
+        files.read_photos: json.dumps({"business_id": "a"}),
+        files.read_ratings: "u,a,3",
+        files.read_pairs: "u,a",
+    }[reader]
+    p = os.path.join(workdir, "in.txt")
+    header = ["h,h,h"] if reader in (files.read_ratings, files.read_pairs) else []
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        _write(p, [*header, good])
+        assert reader(spark, p).count() == 1
+        _write(p, [*header, good, line, good])
+        with pytest.raises(Exception, match="(?i)malformed|no |too few fields|not a rating"):
+            reader(spark, p).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_null_where_the_original_allows_it(spark, workdir):
+    p = _write(os.path.join(workdir, "u.json"), [json.dumps({**USER, "review_count": None, "yelping_since": None})])
+    (row,) = files.read_users(spark, p).collect()
+    assert row.review_count is None and row.average_stars is None
