@@ -28,7 +28,7 @@ def attribute_values(items: DataFrame, keys: list[str] | None = None) -> DataFra
 
 
 def missing_profile(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """M2: number of null values per feature, in one aggregation pass."""
+    """M2: number of missing values (null or NaN) per feature, in one aggregation pass."""
     cols = columns or FEATURES
-    counts = features.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    counts = features.agg(*[F.count_if(F.isnull(c) | F.isnan(F.col(c).cast("double"))).alias(c) for c in cols])
     return counts.unpivot([], cols, "feature", "n_missing")

