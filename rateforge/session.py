@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,7 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.ansi.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -43,9 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared, fault-tolerant folder and is used
-    as is. Only a local session without it (tests) gets a scratch folder; a
-    cluster session without it is an error, since a machine-local folder would
-    not survive the loss of an executor.
+    as is. Only a session on one machine (master local or local[...]) without it
+    gets a scratch folder; any other session without it is an error, since a
+    machine-local folder would not survive the loss of an executor.
     """
     try:
         sc = spark.sparkContext
@@ -56,7 +57,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared, fault-tolerant folder (HDFS, object store)")
         configured = tempfile.mkdtemp(prefix="rateforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
@@ -68,7 +69,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 # fit executor memory with room to spare; AQE coalesces what turns out small.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 EXPANSION = 4
-MAX_SHUFFLE_PARTITIONS = 200_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -86,13 +86,17 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 def size_shuffles(spark: SparkSession, nbytes: int) -> int:
     """Raise AQE's initial shuffle partition count to fit ``nbytes`` of input.
 
-    The count is input x EXPANSION / TARGET_PARTITION_BYTES, capped at
-    MAX_SHUFFLE_PARTITIONS; a larger setting already in the session is kept.
-    Returns the count in effect.
+    The count is input x EXPANSION / TARGET_PARTITION_BYTES, at any size; a
+    larger setting already in the session is kept. Returns the count in effect.
     """
-    wanted = min(MAX_SHUFFLE_PARTITIONS, math.ceil(nbytes * EXPANSION / TARGET_PARTITION_BYTES))
-    current = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = math.ceil(nbytes * EXPANSION / TARGET_PARTITION_BYTES)
+    current = shuffle_partitions(spark)
     if wanted > current:
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
         return wanted
     return current
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The number of partitions a shuffle starts with, for operators that deal rows themselves."""
+    return int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
