@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shuffle_partitions
 from ..sources.shared import materialize
 
 
@@ -41,8 +42,7 @@ def prefix_sums(rows: DataFrame, group: str, order: list[Column], value: str, la
     """
     spark = rows.sparkSession
     keys = [F.col(group).asc_nulls_last(), *order]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ordered = rows.repartitionByRange(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys)
     g, v = rows.columns.index(group), rows.columns.index(value)
     schema = T.StructType([*rows.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_run", T.LongType())])
     runs = materialize(ordered.mapInArrow(lambda batches: _running(batches, g, v), schema), label)

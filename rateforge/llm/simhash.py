@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_partitions
 from ..sources.shared import materialize
 from .components import components
 
@@ -216,8 +217,7 @@ def links(codes: DataFrame, entries: int, radius: int = RADIUS) -> DataFrame:
             "fp",
         )
     )
-    n = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cells.repartition(n, "choice", "value", "low", "high").sortWithinPartitions("choice", "value", "low", "high", "fp")
+    dealt = cells.repartition(shuffle_partitions(codes.sparkSession), "choice", "value", "low", "high").sortWithinPartitions("choice", "value", "low", "high", "fp")
     return dealt.mapInArrow(lambda batches: _cells(batches, radius), "a long, b long").distinct()
 
 
