@@ -25,3 +25,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    Spark drops them once the driver's garbage collector finds their plans
+    unused, which may take long on an idle driver. For jobs whose shuffles are
+    large against their result.
+    """
+    spark.sparkContext._jvm.System.gc()
