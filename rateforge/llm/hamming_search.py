@@ -3,8 +3,9 @@
 A code (the signs of an embedding) is cut into segments. Two codes at Hamming
 distance below ``segments * (r + 1)`` are within r bits in some segment, so
 once all segments have been probed at radii 0 .. r, every code nearer than
-that has been seen. The radii grow one by one; a query leaves the loop when
-the k-th distance verified for it is covered, or when it has seen every code.
+that has been seen. The radii grow one by one, first for one half of the segments, then
+for the other; a query leaves the loop when the k-th distance verified for it
+is covered, or when it has seen every code.
 
 Equal codes are one index entry with their k smallest ids (a partial top-k
 before the shuffle), and equal query codes are searched once, so groups of
@@ -57,22 +58,20 @@ def segment_count(codes: int, bits: int = BITS) -> int:
     return -(-bits // length)
 
 
-def _segments(code: Column, bits: int, n: int) -> Column:
-    """An array of (segment, value) of a code."""
+def _segments(code: Column, bits: int, n: int, chosen: range) -> Column:
+    """An array of (segment, value) of a code, for the chosen segments."""
     bounds = [bits * i // n for i in range(n + 1)]
     out = []
-    for i in range(n):
-        mask = (1 << (bounds[i + 1] - bounds[i])) - 1
-        out.append(
-            F.struct(F.lit(i).alias("segment"), F.shiftrightunsigned(code, bounds[i]).bitwiseAND(F.lit(mask).cast("long")).cast("int").alias("value"))
-        )
+    for i in chosen:
+        mask = F.lit((1 << (bounds[i + 1] - bounds[i])) - 1).cast("long")
+        value = F.shiftrightunsigned(code, bounds[i]).bitwiseAND(mask).cast("int")
+        out.append(F.struct(F.lit(i).alias("segment"), value.alias("value")))
     return F.array(*out)
 
 
-def _masks(spark, length: int, radius: int) -> DataFrame:
-    """One row with the ``radius``-bit values of a segment, C(16, 8) = 12,870 at most."""
-    values = [sum(1 << b for b in chosen) for chosen in combinations(range(length), radius)]
-    return spark.createDataFrame([(radius, values)], "radius int, masks array<int>")
+def _masks(length: int, radius: int) -> list[int]:
+    """The ``radius``-bit values of a segment, C(16, 8) = 12,870 at most."""
+    return [sum(1 << b for b in chosen) for chosen in combinations(range(length), radius)]
 
 
 def _nearest(found: DataFrame, k: int) -> DataFrame:
@@ -102,28 +101,31 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) ->
     n_codes = codes.count()
     n = segment_count(n_codes, bits)
     length = -(-bits // n)
-    index = materialize(codes.select("code", "first_id", F.inline(_segments(F.col("code"), bits, n))), "segment-index")
+    index = materialize(codes.select("code", "first_id", F.inline(_segments(F.col("code"), bits, n, range(n)))), "segment-index")
     found = spark.createDataFrame([], "query long, code long, first_id long, distance int")
     done = []
-    for radius in range(length + 1):
+    half = -(-n // 2)
+    for radius, chosen in [(r, part) for r in range(length + 1) for part in (range(half), range(half, n)) if part]:
         # At this radius exactly; the values nearer by were probed before.
         probes = (
-            waiting.select("query", F.lit(radius).alias("radius"), F.inline(_segments(F.col("query"), bits, n)))
-            .join(F.broadcast(_masks(spark, length, radius)), "radius")
-            .select("query", "segment", "value", F.explode("masks").alias("mask"))
+            waiting.select("query", F.inline(_segments(F.col("query"), bits, n, chosen)))
+            .select("query", "segment", "value", F.explode(F.lit(_masks(length, radius))).alias("mask"))
             .select("query", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
         )
         distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int")
         new = (
-            probes.join(index, ["segment", "value"])
+            # The planner cannot see how many rows the masks make: never a broadcast.
+            probes.hint("merge")
+            .join(index.hint("merge"), ["segment", "value"])
             .select("query", "code", "first_id", distance.alias("distance"))
             .unionByName(found)
             .distinct()
         )
         found = materialize(_nearest(new, k), "nearest-codes")
-        covered = n * (radius + 1) - 1
+        # All segments probed to radius - 1, the first ones to radius.
+        covered = n * radius + chosen.stop - 1
         state = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("kth"))
-        full = (F.col("n") >= min(k, n_codes)) & (F.col("kth") <= covered) | F.lit(radius == length)
+        full = (F.col("n") >= min(k, n_codes)) & (F.col("kth") <= covered) | F.lit(radius == length and chosen.stop == n)
         closed = state.where(full).select("query")
         done.append(found.join(closed, "query", "left_semi"))
         waiting = materialize(waiting.join(closed, "query", "left_anti"), "open-queries")

@@ -7,13 +7,14 @@ from collections import Counter, defaultdict
 
 import pytest
 from oracle_compare import compare
-from test_quality import brute_judge
-from test_simhash import brute_components, brute_fingerprint
 
 import __spark_entry__
 import corpus_pipeline
 from rateforge.llm import queries
 
+from .test_quality import brute_judge
+from .test_simhash import brute_components, brute_fingerprint
+
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
