@@ -104,10 +104,15 @@ def base_figures(docs: DataFrame) -> DataFrame:
     )
 
 
-def _normal(line: Column) -> Column:
-    """A line as it is compared: A-Z lowered, white space trimmed and made single."""
-    lowered = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.array_join(words_of(lowered), " ")
+def _normal_lines(text: Column) -> Column:
+    """The lines of a text as they are compared: lower case, white space trimmed and made single.
+
+    The whole text is made even once (most need nothing), so that a line costs
+    a trim and no pattern.
+    """
+    low = F.lower(F.coalesce(text.cast("string"), F.lit("")))
+    even = F.when(low.rlike("  |[\\t\\x0B\\f\\r]"), F.regexp_replace(low, "[ \\t\\x0B\\f\\r]+", " ")).otherwise(low)
+    return F.transform(F.split(even, "\n", -1), lambda x: F.trim(x))
 
 
 def _row_key() -> Column:
@@ -117,12 +122,11 @@ def _row_key() -> Column:
 
 def _measured_lines(text: Column) -> Column:
     """(line hash, words) of each line with a word; a normal line's words are its spaces and one."""
-    normal = F.filter(F.transform(F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1), _normal), lambda x: x != "")
     return F.transform(
-        normal,
+        F.filter(_normal_lines(text), lambda x: x != ""),
         lambda x: F.struct(
             F.xxhash64(x).alias("line"),
-            (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).cast("long").alias("words"),
+            (F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit(""))) + 1).cast("long").alias("words"),
         ),
     )
 
@@ -133,7 +137,8 @@ def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float =
     A document's equal lines are made one inside its row; counts are then
     summed per task before the shuffle.
     """
-    lines = docs.select("source", F.inline(F.array_distinct(_measured_lines(F.col("text")))))
+    hashes = F.transform(F.filter(_normal_lines(F.col("text")), lambda x: x != ""), lambda x: F.xxhash64(x))
+    lines = docs.select("source", F.explode(F.array_distinct(hashes)).alias("line"))
     counts = lines.groupBy("source", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
     hosts = docs.groupBy(F.col("source").alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
     above = counts.join(hosts, F.col("source").eqNullSafe(F.col("host")), "inner")
@@ -212,11 +217,12 @@ def clean(
     where lines went.
     """
     columns = docs.columns
-    own = docs.select("doc_id", "text", "source", F.struct(*[F.col(c).alias(c) for c in columns]).alias("_row"))
+    rest = [F.col(c).alias(c) for c in columns if c != "text"]
+    own = docs.select("doc_id", "text", "source", F.struct(*rest).alias("_row"))
     rows = _join_removed(own.withColumn("_key", _row_key()), docs.select("doc_id", "text", "source"), max_docs, max_share)
     kept = _verdict(base_figures(rows), min_words, min_left).where("kept")
     text = _without(F.col("text"), F.col("_lines"))
-    out = {c: F.col("_row").getField(c) for c in columns} | {"text": text.alias("text")}
+    out = {c: F.col("_row").getField(c) for c in columns if c != "text"} | {"text": text}
     if "n_chars" in columns:
         n_chars = F.when(F.col("_lines").isNull(), F.col("_row").getField("n_chars")).otherwise(F.length(text))
         out["n_chars"] = n_chars.cast(docs.schema["n_chars"].dataType)
@@ -224,6 +230,7 @@ def clean(
 
 
 def _without(text: Column, lines: Column) -> Column:
-    """``text`` without the lines whose normalised hash is in ``lines``."""
-    kept = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(lines, F.xxhash64(_normal(x))))
-    return F.when(lines.isNull(), text).otherwise(F.array_join(kept, "\n"))
+    """``text`` without the lines whose normal form's hash is in ``lines``."""
+    pairs = F.arrays_zip(F.split(text, "\n", -1).alias("line"), _normal_lines(text).alias("normal"))
+    kept = F.filter(pairs, lambda p: ~F.array_contains(lines, F.xxhash64(p["normal"])))
+    return F.when(lines.isNull(), text).otherwise(F.array_join(F.transform(kept, lambda p: p["line"]), "\n"))

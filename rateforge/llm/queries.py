@@ -137,8 +137,7 @@ WITH w AS (
 ), dup AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE regexp_matches(line, '{_WORD}') GROUP BY doc_id
 ), normal AS (
-  SELECT doc_id, source, array_to_string(regexp_extract_all(
-      translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}'), ' ') AS line,
+  SELECT doc_id, source, array_to_string(regexp_extract_all(lower(line), '{_WORD}'), ' ') AS line,
     len(regexp_extract_all(line, '{_WORD}')) AS words
   FROM lines
 ), frequent AS (

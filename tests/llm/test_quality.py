@@ -28,7 +28,7 @@ def brute_base(text):
 
 
 def normal(line):
-    return " ".join(WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line)))
+    return " ".join(WORD.findall(line.lower()))
 
 
 def brute_judge(rows, max_docs, max_share, min_words, min_left):
