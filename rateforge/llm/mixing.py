@@ -148,7 +148,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     ).withColumnRenamed("source", "_source")
     columns = docs.columns
     rows = docs.select(
-        F.struct(*[F.col(c).alias(c) for c in columns]).alias("_row"),
+        F.struct(*[F.col(c).alias(c) for c in columns if c != "text"]).alias("_row"),
         F.col("text").cast("string").alias("_text"),
         F.col("source").cast("string").alias("_own"),
         F.struct(
@@ -173,7 +173,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     )
     taken = joined.withColumn("_part", part).select("_row", "_text", "_part", F.explode(takes).alias("_is_cut"))
     text = F.when(F.col("_is_cut"), first_words(F.col("_text"), F.col("_part"))).otherwise(F.col("_text"))
-    out = {c: F.col("_row").getField(c) for c in columns} | {"text": text}
+    out = {c: F.col("_row").getField(c) for c in columns if c != "text"} | {"text": text}
     if "n_chars" in columns:
         n_chars = F.when(F.col("_is_cut"), F.length(text)).otherwise(F.col("_row").getField("n_chars"))
         out["n_chars"] = n_chars.cast(docs.schema["n_chars"].dataType)
