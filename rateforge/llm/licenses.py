@@ -62,13 +62,13 @@ OPENNESS = {
 }
 TAGS = ("spdx-license-identifier:", "license-expression:")
 TAG_SCORE, BROKEN_TAG_SCORE, BASE_SCORE, NOTICE_SCORE = 1.0, 0.5, 0.9, 0.7
-#: Characters of an expression read after a tag, to the end of its line at most.
-EXPRESSION_CHARS = 1000
 
 _BREAKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _TO_WORDS = bytes(_LOWER[b] if _BREAKS[b] != 32 else 32 for b in range(256))
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+\-]*|[^\sA-Za-z0-9()]")
+#: What ends an expression.
+_STOP = re.compile(r"\n|\*/|-->|#|;|,")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
@@ -123,7 +123,9 @@ def evaluate(expression: str) -> tuple[set[str], float]:
                 raise BrokenExpression("with")
             stack.append(({f"{min(left)} with {min(right)}"}, l_open, False))
         else:
-            stack.append((left | right, min(l_open, r_open) if item == "and" else max(l_open, r_open), False))
+            few, many = sorted((left, right), key=len)
+            many |= few  # in place, so that a long expression costs no copies
+            stack.append((many, min(l_open, r_open) if item == "and" else max(l_open, r_open), False))
     ids, openness, _ = stack.pop()
     return ids, openness
 
@@ -141,6 +143,26 @@ def _automata() -> tuple[ahocorasick.Automaton, ahocorasick.Automaton]:
     return notices, tags
 
 
+def _expressions(raw: str, ends: Iterator[int]) -> Iterator[str]:
+    """The text after each tag, to the end of its line or comment at most.
+
+    Tags before the same stop: the first one's text is broken, as it holds a
+    tag, and names all that the others between it and the last one name. Those
+    are passed over, which keeps a line of many tags linear.
+    """
+    first, last, stop = 0, 0, -1
+    for end in ends:
+        if end + 1 > stop:
+            if stop >= 0:
+                yield from (raw[at:stop] for at in sorted({first, last}))
+            first = end + 1
+            found = _STOP.search(raw, first)
+            stop = found.start() if found else len(raw)
+        last = end + 1
+    if stop >= 0:
+        yield from (raw[at:stop] for at in sorted({first, last}))
+
+
 def scan(text: str | None) -> tuple:
     """(n_words, n_base, first_word, last_word, base_labels, labels, score, openness) of a whole text."""
     raw = text or ""
@@ -160,9 +182,7 @@ def scan(text: str | None) -> tuple:
             base.add(label)
             places.append(bisect_left(starts, end - length + 2))
     lowered = raw.encode().translate(_LOWER).decode()  # A-Z only: places stay those of the raw text
-    for end, _ in tags.iter(lowered):
-        line = raw[end + 1 : end + 1 + EXPRESSION_CHARS].split("\n", 1)[0]
-        expression = re.split(r"\*/|-->|#|;|,", line, maxsplit=1)[0]
+    for expression in _expressions(raw, (end for end, _ in tags.iter(lowered))):
         try:
             ids, value = evaluate(expression)
             known = all(i.split(" ")[0].removesuffix("+") in OPENNESS for i in ids)

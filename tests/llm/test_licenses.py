@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,42 @@ def test_tags():
     assert X.scan("License-Expression: GPL-3.0-only\nmore")[5:] == ("gpl-3.0-only", 1.0, 0.4)
 
 
+def test_long_expressions_are_read_to_the_end_of_the_line():
+    ids = [f"Own-{i}.0" for i in range(400)]
+    got = X.scan(f"License-Expression: ({' AND '.join(['MIT', *ids])}) OR ISC\nGPL-2.0")
+    assert got[5].split(",") == sorted({"mit", "isc", *(i.lower() for i in ids)}) and got[6:] == (X.BROKEN_TAG_SCORE, 1.0)
+    got = X.scan(f"SPDX-License-Identifier: {' OR '.join(['MIT'] * 300)} OR (GPL-2.0 AND ISC) # GPL-3.0")
+    assert got[5:] == ("gpl-2.0,isc,mit", X.TAG_SCORE, 1.0)
+
+
+def every_tag(text):
+    """(labels, score, openness) with each tag's expression read by itself."""
+    found, score, openness = set(), 0.0, []
+    for m in re.finditer("|".join(X.TAGS), text, re.IGNORECASE):
+        expression = re.split(r"\n|\*/|-->|#|;|,", text[m.end() :], maxsplit=1)[0]
+        try:
+            ids, value = X.evaluate(expression)
+            known = all(i.split(" ")[0].removesuffix("+") in X.OPENNESS for i in ids)
+            found, score, openness = found | ids, max(score, X.TAG_SCORE if known else X.BROKEN_TAG_SCORE), [*openness, value]
+        except X.BrokenExpression:
+            named = {t.lower() for t in X._TOKEN.findall(expression)} & X.OPENNESS.keys()
+            found, score = found | named, max(score, X.BROKEN_TAG_SCORE if named else 0.0)
+            openness += [X.OPENNESS[t] for t in named]
+    return ",".join(sorted(found)), score, min(openness, default=None)
+
+
+def test_many_tags_on_a_line():
+    rnd = random.Random(5)
+    parts = [*X.TAGS, "SPDX-License-Identifier: ", "MIT", "ISC", "GPL-2.0", "oops", " OR ", " AND ", "(", ")", " ", "\n", ",", "-->", "#", "*/"]
+    for _ in range(3000):
+        text = "".join(rnd.choices(parts, k=rnd.randint(1, 25)))
+        assert X.scan(text)[5:] == every_tag(text), text
+    start = time.process_time()
+    assert X.scan("SPDX-License-Identifier: MIT " * 30_000)[5:] == ("mit", X.TAG_SCORE, 1.0)
+    assert X.scan("License-Expression: " + " OR ".join(f"a{i}" for i in range(100_000)))[6] == X.BROKEN_TAG_SCORE
+    assert time.process_time() - start < 20
+
+
 def test_defined_cases(docs_of, small_docs):
     docs = docs_of([(1, None, "a"), (None, "", None), (2, " - ", "b")])
     rows = X.scan_licenses(docs).collect()
