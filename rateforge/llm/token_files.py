@@ -8,9 +8,12 @@ and stitches documents that cross blocks with a prefix scan over the blocks of
 a file: a running maximum gives the last separator before a block, a running
 sum the number of documents closed before it.
 
-Files are plain or gzip streams. A worker decompresses and scans block by
-block, so its memory is a compressed file and one block. A file is read by one
-task; the writer makes one file per input partition, which bounds it.
+Files are plain or gzip streams. Files of up to ``SPREAD_ABOVE`` bytes are read
+whole, each by one task that scans block by block; the writer makes one file
+per input partition, which bounds them. A larger plain file under a ``file:``
+path (a shared folder) is dealt out by blocks, and a task reads only the bytes
+of its blocks; a larger gzip file there is read by one task as a stream. Stores
+that only Spark's readers open give whole files, of 2 GB at most.
 
 Defined cases: a null or empty text is a document of 0 tokens; repeated rows
 and null ``doc_id``s count like any other row; extra columns are ignored; an
@@ -20,8 +23,11 @@ with ``closed`` false; a file of odd length raises an error.
 
 from __future__ import annotations
 
+import io
+import re
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +40,8 @@ from .tokens import DEFAULT_TOKENIZER, encoder
 END_ID = 50256
 #: Ids of a block.
 BLOCK = 1 << 20
+#: Bytes of the largest file that one task reads whole.
+SPREAD_ABOVE = 64 << 20
 
 
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
@@ -63,51 +71,110 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = DEFAULT_TOKEN
     )
 
 
-def _blocks(content: bytes, block: int) -> Iterator[np.ndarray]:
-    """The ids of a file in blocks, decompressing as it goes."""
-    if content[:2] != b"\x1f\x8b":
-        if len(content) % 2:
+def _blocks(stream: BinaryIO, block: int) -> Iterator[np.ndarray]:
+    """The ids of a file in blocks, reading and decompressing as it goes."""
+    gzipped = stream.read(2) == b"\x1f\x8b"
+    stream.seek(0)
+    inflate, rest, kept = zlib.decompressobj(31), b"", bytearray()
+    while True:
+        if not gzipped:
+            kept += stream.read(2 * block)
+        else:
+            while len(kept) < 2 * block and (rest := rest or stream.read(1 << 20)):
+                kept += inflate.decompress(rest, 2 * block - len(kept))
+                rest = inflate.unused_data if inflate.eof else inflate.unconsumed_tail
+                if inflate.eof:  # the next member of the stream
+                    inflate = zlib.decompressobj(31)
+        if len(kept) % 2:
             raise ValueError("a token file holds whole 16-bit ids")
-        for at in range(0, len(content), 2 * block):
-            yield np.frombuffer(content[at : at + 2 * block], dtype="<u2")
-        return
-    kept, stream, rest = bytearray(), zlib.decompressobj(31), memoryview(content)
-    while len(rest):
-        kept += stream.decompress(rest, 2 * block - len(kept))
-        rest = memoryview(stream.unused_data if stream.eof else stream.unconsumed_tail)
-        if stream.eof:  # the next member of the stream
-            stream = zlib.decompressobj(31)
-        if len(kept) == 2 * block:
-            yield np.frombuffer(bytes(kept), dtype="<u2")
-            kept.clear()
-    if len(kept) % 2:
-        raise ValueError("a token file holds whole 16-bit ids")
-    if kept:
+        if not kept:
+            return
         yield np.frombuffer(bytes(kept), dtype="<u2")
+        kept.clear()
+
+
+def _separator_row(file: str, number: int, ids: np.ndarray, end_id: int) -> pa.RecordBatch:
+    found = np.flatnonzero(ids == end_id).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([file]),
+            pa.array([number], type=pa.int64()),
+            pa.array([len(ids)], type=pa.int64()),
+            pa.array([found], type=pa.list_(pa.int32())),
+        ],
+        names=["file", "block", "n_ids", "found"],
+    )
 
 
 def _separators(batches: Iterator[pa.RecordBatch], end_id: int, block: int) -> Iterator[pa.RecordBatch]:
+    """The separators of whole files."""
     for batch in batches:
         for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for number, ids in enumerate(_blocks(content.as_py(), block)):
-                found = np.flatnonzero(ids == end_id).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([file]),
-                        pa.array([number], type=pa.int64()),
-                        pa.array([len(ids)], type=pa.int64()),
-                        pa.array([found], type=pa.list_(pa.int32())),
-                    ],
-                    names=["file", "block", "n_ids", "found"],
-                )
-
-
-def scan_token_files(spark: SparkSession, path: str, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:
-    """One row per document: file, document (0, 1, .. in the file), start, n_tokens, closed."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    blocks = files.mapInArrow(
-        lambda batches: _separators(batches, end_id, block), "file string, block long, n_ids long, found array<int>"
+            for number, ids in enumerate(_blocks(io.BytesIO(content.as_py()), block)):
+                yield _separator_row(file, number, ids, end_id)
+
+
+def _local(path: str) -> str:
+    return re.sub("^file:(//(?=/))?", "", path)
+
+
+def _block_counts(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    """(file, blocks) of plain files, one block -1 for a gzip stream."""
+    for batch in batches:
+        files, lengths = (c.to_pylist() for c in batch.columns)
+        counts = []
+        for file, length in zip(files, lengths):
+            with open(_local(file), "rb") as stream:
+                gzipped = stream.read(2) == b"\x1f\x8b"
+            if not gzipped and length % 2:
+                raise ValueError("a token file holds whole 16-bit ids")
+            counts.append(-1 if gzipped else -(-length // (2 * block)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(files, type=pa.string()), pa.array(counts, type=pa.int64())], names=["file", "blocks"]
+        )
+
+
+def _block_separators(batches: Iterator[pa.RecordBatch], end_id: int, block: int) -> Iterator[pa.RecordBatch]:
+    """The separators of single blocks, of all blocks for block -1."""
+    for batch in batches:
+        for file, number in zip(*(c.to_pylist() for c in batch.columns)):
+            with open(_local(file), "rb") as stream:
+                if number < 0:
+                    for k, ids in enumerate(_blocks(stream, block)):
+                        yield _separator_row(file, k, ids, end_id)
+                else:
+                    stream.seek(2 * block * number)
+                    yield _separator_row(file, number, np.frombuffer(stream.read(2 * block), dtype="<u2"), end_id)
+
+
+def _file_blocks(spark: SparkSession, path: str, end_id: int, block: int, spread_above: int) -> DataFrame:
+    """(file, block, n_ids, found) of each block of each file."""
+    row = "file string, block long, n_ids long, found array<int>"
+    files = spark.read.format("binaryFile").load(path)
+    whole = files.select("path", "content")
+    large = files.where(F.col("length") > spread_above).select("path", "length")
+    local = F.bool_and(F.col("path").startswith("file:"))
+    total, spread = large.agg(F.sum("length"), local).first()
+    if not spread:  # no large files, or not to be opened but by Spark
+        return whole.mapInArrow(lambda batches: _separators(batches, end_id, block), row)
+    # The reader skips files by their length without reading them.
+    small = files.where(F.col("length") <= spread_above).select("path", "content")
+    counts = large.mapInArrow(lambda batches: _block_counts(batches, block), "file string, blocks long")
+    numbers = F.when(F.col("blocks") < 0, F.array(F.lit(-1).cast("long"))).otherwise(
+        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    )
+    tasks = max(spark.sparkContext.defaultParallelism, 1 + total // SPREAD_ABOVE)
+    dealt = counts.select("file", F.explode(numbers).alias("block")).repartition(tasks)
+    return small.mapInArrow(lambda batches: _separators(batches, end_id, block), row).unionByName(
+        dealt.mapInArrow(lambda batches: _block_separators(batches, end_id, block), row)
     )
+
+
+def scan_token_files(
+    spark: SparkSession, path: str, end_id: int = END_ID, block: int = BLOCK, spread_above: int = SPREAD_ABOVE
+) -> DataFrame:
+    """One row per document: file, document (0, 1, .. in the file), start, n_tokens, closed."""
+    blocks = _file_blocks(spark, path, end_id, block, spread_above)
     base = F.col("block") * block
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     stitched = blocks.select(

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rateforge.llm import packing, queries, token_files
@@ -127,5 +128,35 @@ def test_separator_scan_across_blocks(spark, tmp_path):
         assert got["part-00003"] == [(0, 0, 4, False)]
 
 
+def test_separator_scan_of_spread_files(spark, tmp_path):
+    """Files dealt out by blocks give what whole files give."""
+    rnd = np.random.default_rng(7)
+    for k, n in enumerate((1, 7, 64, 1000, 1001)):
+        raw = rnd.choice([token_files.END_ID, 1, 2, 3], n).astype("<u2").tobytes()
+        (tmp_path / f"part-0000{k}-a b%20.bin").write_bytes(raw)
+        (tmp_path / f"part-0001{k}-x.gz").write_bytes(gzip.compress(raw[:9]) + gzip.compress(raw[9:]))
+    for block in (3, 64, 5000):
+        whole = token_files.scan_token_files(spark, str(tmp_path), block=block)
+        for above in (0, 100, 1500):
+            spread = token_files.scan_token_files(spark, str(tmp_path), block=block, spread_above=above)
+            assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_separator_scan_of_a_file_above_2_gb(spark, tmp_path):
+    """More than one row of a table can hold, read by many tasks (a sparse file: it takes no disk)."""
+    ends, n = [5, 1 << 20, 700_000_001, (1 << 30) + 40], (1 << 30) + 50
+    with open(tmp_path / "flat.bin", "wb") as f:
+        f.truncate(2 * n)
+        for at in ends:
+            f.seek(2 * at)
+            f.write(token_files.END_ID.to_bytes(2, "little"))
+    rows = token_files.scan_token_files(spark, str(tmp_path)).collect()
+    got = sorted((r.document, r.start, r.n_tokens, r.closed) for r in rows)
+    starts, stops = [0, *(e + 1 for e in ends)], [*ends, n]
+    assert got == [(k, a, b - a, k < len(ends)) for k, (a, b) in enumerate(zip(starts, stops))]
+    blocks = token_files._file_blocks(spark, str(tmp_path), token_files.END_ID, token_files.BLOCK, token_files.SPREAD_ABOVE)
+    assert blocks.groupBy(F.spark_partition_id()).count().count() > 8
+
+
 def test_token_counts_empty(spark, small_docs):
     assert token_files.token_counts(small_docs.where("false")).count() == 0
