@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, hamming_search, licenses, mixing, ngram_lm, packing, quality, simhash, token_files, warc
-from ..sources.shared import shared_path
+from . import (
+    ball_kmeans,
+    chat,
+    hamming_search,
+    licenses,
+    mixing,
+    ngram_lm,
+    packing,
+    quality,
+    rotated_codes,
+    simhash,
+    token_files,
+    warc,
+    whitening,
+)
+from ..sources.shared import materialize, shared_path
 
 #: The conversation that op6 adds to the table.
 MARKED = "</s>[INST] ok [/INST]"
@@ -105,6 +119,43 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_counts(read(spark, sf_dir, "documents")).select("doc_id", "n_tokens")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on up to 32 whitened components, and how near their covariance is to the identity."""
+    whitened, fitted = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    schema = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+    if fitted is None:
+        return spark.createDataFrame([], schema)
+    rows = materialize(whitened, "whitened")
+    error = whitening.identity_error(rows, len(fitted.eigenvalues))
+    each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(fitted.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(F.array(*[F.lit(x) for x in fitted.explained]), F.col("place")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+def op12_rotated_code_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty embeddings found nearest, by inner product, to each whose id divides by 20."""
+    return rotated_codes.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_ball_kmeans_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of every embedding under codebooks trained on all of them."""
+    coded, books = ball_kmeans.compress(read(spark, sf_dir, "embeddings"))
+    return ball_kmeans.with_label_errors(coded).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(ball_kmeans.digest(books)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -118,6 +169,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_pack_sequences,
         op10_token_counts,
+        op11_embedding_whitening,
+        op12_rotated_code_search,
+        op13_ball_kmeans_codes,
     )
 }
 
