@@ -1,24 +1,30 @@
 """Document quality rules with cross-document line frequency, in DataFrame operations only.
 
 Base figures come from a document's own text. The method then looks across
-documents: each line is normalised (A-Z lowered, outer white space stripped,
+documents: each line is normalised (lower case, outer white space stripped,
 inner white space one space) and hashed, the distinct documents of a line are
-counted per host, lines above the limits are removed, and a document that is
+counted per host, lines above the limit are removed, and a document that is
 left depleted is rejected.
 
 Limits: a line is removed from the documents of a host if it stands in more
-than ``max_docs`` of its documents and in more than ``max_share`` of them. A
+than ``max_docs`` of its distinct documents, however many the host has. A
 document that lost lines is depleted if fewer than ``min_words`` words or less
 than ``min_left`` of its words are left.
 
-Line counts are summed before the shuffle (one row per task, host and line),
-so a host or a line that holds a third of all rows stays spread.
+Documents of a line are made distinct per task before the shuffle and counted
+per task after it, so a host or a line that holds a third of all rows stays
+spread. ``clean`` joins what a document loses to its text by one sort-merge
+join at every size, and sends no text that fails on its own figures.
 
 Defined cases: a null text is an empty one (no words, rejected); documents with
-a null host form a host of their own; a row is a document, so repeated rows
-count as several documents and get the same verdict; extra columns are kept by
-``clean`` and ignored by ``judge``, whatever their names; an empty table gives
-no rows.
+a null host form a host of their own; rows of one doc_id are one document for
+the limit, whatever their texts, and rows without an id count for no line,
+while every row loses lines and gets its verdict by itself; a text of any
+length is taken whole, its lines and windows being arrays inside its row; a
+line that stands in exactly ``max_docs`` documents, or a document that is left
+with exactly the least words or share, stays; equal lines of a document are one
+line with the words of all; extra columns are kept by ``clean`` and ignored by
+``judge``, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,8 +37,7 @@ from ..sources.shared import materialize
 SPACES = " \t\n\x0b\f\r"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MAX_DOCS = 50
-MAX_SHARE = 0.01
+MAX_DOCS = 10
 MIN_LEFT = 0.5
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
@@ -131,18 +136,15 @@ def _measured_lines(text: Column) -> Column:
     )
 
 
-def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """(source, line) above the limits, with the number of distinct documents.
+def frequent_lines(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """(source, line, n_docs): the lines that stand in more than ``max_docs`` distinct documents of a host.
 
-    A document's equal lines are made one inside its row; counts are then
-    summed per task before the shuffle.
+    A document's equal lines are made one inside its row.
     """
     hashes = F.transform(F.filter(_normal_lines(F.col("text")), lambda x: x != ""), lambda x: F.xxhash64(x))
-    lines = docs.select("source", F.explode(F.array_distinct(hashes)).alias("line"))
-    counts = lines.groupBy("source", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
-    hosts = docs.groupBy(F.col("source").alias("host")).agg(F.count(F.lit(1)).alias("host_docs"))
-    above = counts.join(hosts, F.col("source").eqNullSafe(F.col("host")), "inner")
-    return above.where(F.col("n_docs") > F.col("host_docs") * max_share).select("source", "line", "n_docs")
+    lines = docs.select("doc_id", "source", F.explode(F.array_distinct(hashes)).alias("line"))
+    counts = lines.groupBy("source", "line").agg(F.count_distinct("doc_id").alias("n_docs"))
+    return counts.where(F.col("n_docs") > max_docs)
 
 
 def removed_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -162,15 +164,19 @@ def removed_lines(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     )
 
 
-def _join_removed(rows: DataFrame, docs: DataFrame, max_docs: int, max_share: float) -> DataFrame:
-    """``rows`` (doc_id, _key and others) with _lines and _words_removed, null where nothing goes."""
-    frequent = materialize(frequent_lines(docs, max_docs, max_share), "frequent-lines")
-    removed = materialize(removed_lines(docs, frequent), "removed-lines").select(
+def _removed(docs: DataFrame, max_docs: int) -> DataFrame:
+    """(_doc, _doc_key, _lines, _words_removed) of the documents that lose lines, written."""
+    frequent = materialize(frequent_lines(docs, max_docs), "frequent-lines")
+    return materialize(removed_lines(docs, frequent), "removed-lines").select(
         F.col("doc_id").alias("_doc"),
         F.col("key").alias("_doc_key"),
         F.col("lines").alias("_lines"),
         F.col("words_removed").alias("_words_removed"),
     )
+
+
+def _join_removed(rows: DataFrame, removed: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, _key and others) with _lines and _words_removed, null where nothing goes."""
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_doc_key"))
     return rows.join(removed, same, "left").drop("_doc", "_doc_key", "_key")
 
@@ -188,11 +194,7 @@ def _verdict(rows: DataFrame, min_words: int, min_left: float) -> DataFrame:
 
 
 def judge(
-    docs: DataFrame,
-    max_docs: int = MAX_DOCS,
-    max_share: float = MAX_SHARE,
-    min_words: int = MIN_WORDS,
-    min_left: float = MIN_LEFT,
+    docs: DataFrame, max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_left: float = MIN_LEFT
 ) -> DataFrame:
     """The base figures and the verdict of each document, without its text.
 
@@ -201,17 +203,13 @@ def judge(
     """
     docs = docs.select("doc_id", "text", "source")
     figures = base_figures(docs.withColumn("_key", _row_key())).select("doc_id", "_key", *FIGURES)
-    return _verdict(_join_removed(figures, docs, max_docs, max_share), min_words, min_left).drop("_lines")
+    return _verdict(_join_removed(figures, _removed(docs, max_docs)), min_words, min_left).drop("_lines")
 
 
 def clean(
-    docs: DataFrame,
-    max_docs: int = MAX_DOCS,
-    max_share: float = MAX_SHARE,
-    min_words: int = MIN_WORDS,
-    min_left: float = MIN_LEFT,
+    docs: DataFrame, max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_left: float = MIN_LEFT
 ) -> DataFrame:
-    """The documents that are kept, with ``text`` free of the lines above the limits.
+    """The documents that are kept, with ``text`` free of the lines above the limit.
 
     The columns are those of ``docs``; ``n_chars``, if there, follows the text
     where lines went.
@@ -219,8 +217,10 @@ def clean(
     columns = docs.columns
     rest = [F.col(c).alias(c) for c in columns if c != "text"]
     own = docs.select("doc_id", "text", "source", F.struct(*rest).alias("_row"))
-    rows = _join_removed(own.withColumn("_key", _row_key()), docs.select("doc_id", "text", "source"), max_docs, max_share)
-    kept = _verdict(base_figures(rows), min_words, min_left).where("kept")
+    sound = base_figures(own.withColumn("_key", _row_key())).where(~F.col("base_failed"))
+    # The written side grows with the documents: the same join whatever its size.
+    removed = _removed(docs.select("doc_id", "text", "source"), max_docs).hint("merge")
+    kept = _verdict(_join_removed(sound, removed), min_words, min_left).where("kept")
     text = _without(F.col("text"), F.col("_lines"))
     out = {c: F.col("_row").getField(c) for c in columns if c != "text"} | {"text": text}
     if "n_chars" in columns:

@@ -195,10 +195,7 @@ WITH w AS (
     len(regexp_extract_all(line, '{_WORD}')) AS words
   FROM lines
 ), frequent AS (
-  SELECT source, line FROM normal
-  JOIN (SELECT source AS host, count(*) AS host_docs FROM documents GROUP BY source) ON source IS NOT DISTINCT FROM host
-  WHERE line <> '' GROUP BY source, line, host_docs
-  HAVING count(DISTINCT doc_id) > {quality.MAX_DOCS} AND count(DISTINCT doc_id) > host_docs * {quality.MAX_SHARE}
+  SELECT source, line FROM normal WHERE line <> '' GROUP BY source, line HAVING count(DISTINCT doc_id) > {quality.MAX_DOCS}
 ), removed AS (
   SELECT doc_id, count(DISTINCT n.line) AS lines_removed, sum(words) AS words_removed
   FROM normal n JOIN frequent f ON n.line = f.line AND n.source IS NOT DISTINCT FROM f.source GROUP BY doc_id

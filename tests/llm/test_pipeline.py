@@ -28,7 +28,7 @@ def test_sql(spark, name):
 def test_registered():
     names = [*__spark_entry__.queries()]
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(bool(re.match(rf"op{n}_", x)) for x in names) == 1
 
 
@@ -37,7 +37,7 @@ def test_stages_in_order_against_brute_force(spark):
     docs = queries.read(spark, SF, "documents")
     frame, rows = docs, docs.collect()
     (n1, quality), (n2, dedup), (n3, mix), (n4, pack) = corpus_pipeline.STAGES
-    judged = brute_judge([(r.doc_id, r.text, r.source) for r in rows], 50, 0.01, 50, 0.5)
+    judged = brute_judge([(r.doc_id, r.text, r.source) for r in rows], 10, 50, 0.5)
     frame = quality(spark, frame, SF)
     assert frame.columns == COLUMNS and frame.dtypes == docs.dtypes
     kept = frame.collect()
