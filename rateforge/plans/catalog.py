@@ -12,13 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..operators import dimensions as D
 from ..operators import evaluation as E
 from ..operators import features as X
 from ..operators import model as M
 from ..operators import profiling as P
 from ..operators import signals as G
-from ..sources import shared
+from ..sources import files, shared
 from ..sources import tables as T
 from . import job as J
 
@@ -79,7 +80,7 @@ def q_split_ratings(spark, sf_dir):
 
 
 def q_user_profile(spark, sf_dir):
-    return T.users(spark, sf_dir).select(
+    return T.users(spark, sf_dir, ["review_count", "average_stars", "yelping_since"]).select(
         "user_id",
         F.coalesce(F.col("review_count"), F.lit(0)).cast("long").alias("review_count"),
         F.round("average_stars", AVG).alias("average_stars"),
@@ -88,18 +89,18 @@ def q_user_profile(spark, sf_dir):
 
 
 def q_user_engagement(spark, sf_dir):
-    return D.user_engagement(T.users(spark, sf_dir))
+    return D.user_engagement(T.users(spark, sf_dir, [*S.INTERACTION_FIELDS, *S.COMPLIMENT_FIELDS]))
 
 
 def q_user_tenure(spark, sf_dir):
-    return D.user_tenure(T.users(spark, sf_dir), T.AS_OF)
+    return D.user_tenure(T.users(spark, sf_dir, ["yelping_since"]), T.AS_OF)
 
 
 # --- items -----------------------------------------------------------------
 
 
 def q_item_profile(spark, sf_dir):
-    return T.items(spark, sf_dir).select(
+    return T.items(spark, sf_dir, ["review_count", "stars", "is_open"]).select(
         "item_id",
         F.coalesce(F.col("review_count"), F.lit(0)).cast("long").alias("review_count"),
         F.round("stars", AVG).alias("stars"),
@@ -108,19 +109,19 @@ def q_item_profile(spark, sf_dir):
 
 
 def q_item_location(spark, sf_dir):
-    return _rounded(D.item_location(T.items(spark, sf_dir)))
+    return _rounded(D.item_location(T.items(spark, sf_dir, ["latitude", "longitude"])))
 
 
 def q_item_flags(spark, sf_dir):
-    return D.item_flags(T.items(spark, sf_dir))
+    return D.item_flags(T.items(spark, sf_dir, ["attributes"]))
 
 
 def q_item_price_tier(spark, sf_dir):
-    return D.item_price_tier(T.items(spark, sf_dir))
+    return D.item_price_tier(T.items(spark, sf_dir, ["attributes"]))
 
 
 def q_item_ordinals(spark, sf_dir):
-    return D.item_ordinals(T.items(spark, sf_dir))
+    return D.item_ordinals(T.items(spark, sf_dir, ["attributes"]))
 
 
 # --- signals ---------------------------------------------------------------
@@ -155,8 +156,8 @@ def q_pair_tip_likes(spark, sf_dir):
 
 
 def q_cold_start_mix(spark, sf_dir):
-    known_users = shared.materialize(T.users(spark, sf_dir).select("user_id"), "known-users")
-    known_items = shared.materialize(T.items(spark, sf_dir).select("item_id"), "known-items")
+    known_users = shared.materialize(T.users(spark, sf_dir, []), "known-users")
+    known_items = shared.materialize(T.items(spark, sf_dir, []), "known-items")
     return X.cold_start_mix(T.ratings(spark, sf_dir), known_users, known_items)
 
 
@@ -176,11 +177,11 @@ def q_missing_profile(spark, sf_dir):
 
 
 def q_attribute_frequency(spark, sf_dir):
-    return P.attribute_frequency(T.items(spark, sf_dir))
+    return P.attribute_frequency(T.items(spark, sf_dir, ["attributes"], every_attribute=True))
 
 
 def q_attribute_values(spark, sf_dir):
-    return P.attribute_values(T.items(spark, sf_dir))
+    return P.attribute_values(T.items(spark, sf_dir, ["attributes"], every_attribute=True))
 
 
 # --- evaluation ------------------------------------------------------------
@@ -188,7 +189,8 @@ def q_attribute_values(spark, sf_dir):
 
 def _baseline(spark, sf_dir, rows: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns of the ratings with the baseline prediction; only the two averages are joined."""
-    averages = X.pair_averages(rows, T.users(spark, sf_dir), T.items(spark, sf_dir), keep)
+    users, items = T.users(spark, sf_dir, ["average_stars"]), T.items(spark, sf_dir, ["stars"])
+    averages = X.pair_averages(rows, users, items, keep)
     return averages.select(*keep, E.baseline_prediction().alias("prediction"))
 
 
@@ -209,22 +211,26 @@ def q_rmse_by_split(spark, sf_dir):
 
 # --- model -----------------------------------------------------------------
 
-#: The model of the last test tables used in a session: two queries apply it.
+#: The models of the last test tables used in a session: several queries apply them.
 _FITTED: dict[tuple, tuple] = {}
 
 
-def _model(spark, sf_dir):
-    """(dimensions, model): the tuned settings fitted on all ratings."""
+def _model(spark, sf_dir, train_split: bool = False):
+    """(dimensions, model): the tuned settings fitted on all ratings, or on the train split of them."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        dims = _dimensions(spark, sf_dir)
-        table, n = J.training_table(T.ratings(spark, sf_dir), dims)
+    if key not in {k[:2] for k in _FITTED}:
+        _FITTED.clear()
+    if (*key, train_split) not in _FITTED:
+        dims = next((d for d, _ in _FITTED.values()), None) or _dimensions(spark, sf_dir)
+        rows = T.ratings(spark, sf_dir)
+        if train_split:
+            rows = E.with_split(rows).where(F.col("split") == F.lit(E.TRAIN)).drop("split")
+        table, n = J.training_table(rows, dims)
         train = J.in_partitions(table, n)
         model = M.fit(train, n_rows=n)
         train.unpersist()
-        _FITTED.clear()
-        _FITTED[key] = (dims, model)
-    return _FITTED[key]
+        _FITTED[*key, train_split] = (dims, model)
+    return _FITTED[*key, train_split]
 
 
 def q_predict_ratings(spark, sf_dir):
@@ -240,6 +246,35 @@ def q_predict_coverage(spark, sf_dir):
     return q_predict_ratings(spark, sf_dir).select("user_id", "item_id", F.coalesce(finite, F.lit(False)).alias("has_prediction"))
 
 
+def q_prediction_file(spark, sf_dir):
+    """The prediction of every line of the pairs file, written, and read back in the order of its lines."""
+    dims, model = _model(spark, sf_dir)
+    lines = T.pairs(spark, sf_dir, with_line=True)
+    scored = M.predict(model, X.features_from(lines, dims, keep=[files.NUMBER]), keep=[files.NUMBER])
+    path = shared.shared_path(spark, "prediction-file")
+    files.write_predictions(scored, path)
+    read = files.read_predictions(spark, path)
+    return read.select(files.NUMBER, F.col("user_id").cast("long"), F.col("item_id").cast("long"))
+
+
+def _fitted_on_train(spark, sf_dir):
+    """Every rating with its split and the prediction of the model fitted on the train split."""
+    dims, model = _model(spark, sf_dir, train_split=True)
+    rows = X.features_from(E.with_split(T.ratings(spark, sf_dir)), dims, keep=["rating", "split"])
+    return M.predict(model, rows, keep=["rating", "split"])
+
+
+def q_fitted_rmse_by_split(spark, sf_dir):
+    """Train and hold-out RMSE of the model fitted on the train split."""
+    return E.rmse(_fitted_on_train(spark, sf_dir), by=["split"])
+
+
+def q_fitted_split_rows(spark, sf_dir):
+    """Ratings per split, and how many of them the model of the train split scored."""
+    scored = F.count_if(F.col("prediction").isNotNull() & ~F.isnan("prediction"))
+    return _fitted_on_train(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n"), scored.alias("n_scored"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings": q_ratings,
     "scoring_pairs": q_scoring_pairs,
@@ -269,4 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rmse_by_split": q_rmse_by_split,
     "predict_ratings": q_predict_ratings,
     "predict_coverage": q_predict_coverage,
+    "prediction_file": q_prediction_file,
+    "fitted_rmse_by_split": q_fitted_rmse_by_split,
+    "fitted_split_rows": q_fitted_split_rows,
 }

@@ -282,6 +282,12 @@ def _sql() -> dict[str, str]:
         f"SELECT split, round(sqrt(avg(power(rating - {BASELINE}, 2))), 6) AS rmse, count(*) AS n FROM fm GROUP BY split"
     )
     q["predict_coverage"] = f"SELECT user_id, {K} AS item_id, true AS has_prediction FROM events WHERE event_type = 'view'"
+    q["fitted_split_rows"] = (
+        f"WITH {RATINGS}, s AS ({WITH_SPLIT}) SELECT split, count(*) AS n, count(rating) AS n_scored FROM s GROUP BY split"
+    )
+    q["prediction_file"] = (
+        f"SELECT row_number() OVER (ORDER BY event_id) - 1 AS line, user_id, {K} AS item_id FROM events WHERE event_type = 'view'"
+    )
     return q
 
 

@@ -17,7 +17,8 @@ class Inputs:
     """Canonical input frames.
 
     ratings  user_id, item_id, rating
-    pairs    user_id, item_id [, rating]   rows to score (rating only for evaluation)
+    pairs    user_id, item_id [, rating] [, line]   rows to score (rating only for
+             evaluation; line: the input line, whose order the output keeps)
     users    user_id, review_count, average_stars, yelping_since, useful, funny,
              cool, fans, compliment_* (one row per user)
     items    item_id, review_count, stars, is_open, latitude, longitude,
@@ -49,7 +50,7 @@ def from_files(
     p = lambda role: os.path.join(folder, INPUT_FILES[role])
     return Inputs(
         ratings=files.read_ratings(spark, p("ratings")),
-        pairs=files.read_pairs(spark, pairs_path, with_rating=pairs_with_rating),
+        pairs=files.read_pairs(spark, pairs_path, with_rating=pairs_with_rating, with_line=True),
         users=files.read_users(spark, p("users")),
         items=files.read_items(spark, p("items")),
         visits=files.read_visits(spark, p("visits")),

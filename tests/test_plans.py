@@ -87,14 +87,14 @@ def test_last_wins_is_an_aggregate_not_a_window(spark):
 
 
 def test_filters_and_columns_reach_the_scans(spark):
-    df = E.queries()["item_flags"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "LessThanOrEqual(p_size,40)" in plan
-    users = _plan(E.queries()["user_profile"](spark, SF_SMALL))
-    assert "Not(EqualTo(c_mktsegment,MACHINERY))" in users
-    tips = _plan(E.queries()["tip_likes_by_user"](spark, SF_SMALL))
-    assert "EqualTo(event_type,click)" in tips
-    assert "ReadSchema: struct<user_id:bigint,event_type:string,value:double,props:string>" in tips  # ts, event_id pruned
+    """Where the sources are made of the test tables; the queries then scan text."""
+    assert "LessThanOrEqual(p_size,40)" in _plan(T.item_lines(spark, SF_SMALL))
+    assert "Not(EqualTo(c_mktsegment,MACHINERY))" in _plan(T.user_lines(spark, SF_SMALL))
+    photos = _plan(T.photo_lines(spark, SF_SMALL))
+    assert "EqualTo(event_type,view)" in photos
+    assert "ReadSchema: struct<event_type:string,props:string>" in photos
+    for name in ("item_flags", "user_profile", "tip_likes_by_user"):
+        assert "ReadSchema: struct<value:string>" in _plan(E.queries()[name](spark, SF_SMALL))
 
 
 def test_feature_matrix_keeps_every_rating_row(spark):

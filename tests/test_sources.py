@@ -190,3 +190,92 @@ def test_null_where_the_original_allows_it(spark, workdir):
     p = _write(os.path.join(workdir, "u.json"), [json.dumps({**USER, "review_count": None, "yelping_since": None})])
     (row,) = files.read_users(spark, p).collect()
     assert row.review_count is None and row.average_stars is None
+
+
+@pytest.fixture()
+def small_splits(spark):
+    """Files are cut into many splits."""
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_lines_are_numbered_in_file_order(spark, workdir, small_splits):
+    """Over files and splits of them, repeated header lines out; equal lines have numbers of their own."""
+    folder = os.path.join(workdir, "pairs")
+    os.makedirs(folder)
+    lines = [f"u{i % 97},b{i % 13}" for i in range(4000)]
+    _write(os.path.join(folder, "a.csv"), ["h,h", *lines[:100], "h,h", *lines[100:2500]])
+    _write(os.path.join(folder, "b.csv"), ["h,h", *lines[2500:2510]])
+    _write(os.path.join(folder, "c.csv"), lines[2510:])
+    got = files.read_pairs(spark, folder, with_line=True)
+    assert files.read_lines(spark, folder).rdd.getNumPartitions() > 5
+    rows = sorted((r.line, f"{r.user_id},{r.item_id}") for r in got.collect())
+    assert rows == list(enumerate(lines))
+
+
+def test_predictions_follow_the_lines(spark, workdir, small_splits):
+    """Shuffled rows come out in the order of their lines, and are read back so."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(3000).select(
+        F.col("id").alias("line"), (F.col("id") % 7).cast("string").alias("user_id"), F.lit("b").alias("item_id"),
+        (F.col("id") * 0.5).alias("prediction"),
+    )
+    out = os.path.join(workdir, "pred")
+    files.write_predictions(rows.orderBy(F.rand(3)), out)
+    assert len(glob.glob(os.path.join(out, "part-*.csv"))) > 1
+    got = files.read_predictions(spark, out).collect()
+    assert sorted((r.line, r.user_id, r.prediction) for r in got) == [(i, str(i % 7), i * 0.5) for i in range(3000)]
+
+
+def test_first_line_is_that_of_the_first_file(spark, workdir):
+    """An empty first file is passed over; a larger later file does not come first."""
+    folder = os.path.join(workdir, "ratings")
+    os.makedirs(folder)
+    open(os.path.join(folder, "part-0"), "w").close()
+    _write(os.path.join(folder, "part-1"), ["u,b,s", "x,y,1"])
+    _write(os.path.join(folder, "part-2"), [f"u{i},b{i},2" for i in range(500)])
+    assert files.first_line(spark, folder) == "u,b,s"
+    assert files.read_ratings(spark, folder).count() == 501
+    empty = os.path.join(workdir, "none")
+    os.makedirs(empty)
+    open(os.path.join(empty, "part-0"), "w").close()
+    assert files.first_line(spark, empty) is None and files.read_ratings(spark, empty).count() == 0
+    assert files.read_pairs(spark, empty, with_line=True).count() == 0
+
+
+def test_only_the_asked_fields_are_parsed(spark, workdir):
+    """The ids always; a field that is not asked for is not checked either."""
+    p = _write(os.path.join(workdir, "u.json"), [json.dumps({**USER, "review_count": 4}), json.dumps({"user_id": "v", "review_count": 5})])
+    got = files.read_users(spark, p, ["review_count"])
+    assert got.columns == ["user_id", "review_count"]
+    assert sorted(tuple(r) for r in got.collect()) == [("u", 4), ("v", 5)]
+    assert sorted(r.user_id for r in files.read_users(spark, p, []).collect()) == ["u", "v"]
+    q = _write(os.path.join(workdir, "i.json"), [json.dumps(_item(latitude=1.0, longitude=2.0, stars=1.0)), json.dumps(_item(latitude=5.0, stars=3.0))])
+    place = files.read_items(spark, q, ["latitude", "longitude"])
+    assert [tuple(r) for r in place.collect()] == [("b1", 1.0, 2.0)]
+    assert [tuple(r) for r in files.read_items(spark, q, ["stars"]).collect()] == [("b1", 3.0)]
+    assert [tuple(r) for r in files.read_items(spark, q, []).collect()] == [("b1",)]
+
+
+def test_staged_files_hold_older_copies(spark):
+    """The readers have something to decide: several files, several rows of a key in different files."""
+    from rateforge.sources import tables as T
+
+    sf = "/root/testdata/sf0.001"
+    for source, key in (("users", "user_id"), ("items", "business_id"), ("visits", "business_id")):
+        parts = sorted(glob.glob(os.path.join(T.staged(spark, sf, source).removeprefix("file:"), "part-*.txt")))
+        seen = {}
+        for n, part in enumerate(parts):
+            with open(part) as f:
+                for line in f:
+                    seen.setdefault(json.loads(line)[key], set()).add(n)
+        assert len(parts) >= T.MIN_FILES and sum(len(x) > 1 for x in seen.values()) > len(seen) / 10
+    headers = 0
+    for part in glob.glob(os.path.join(T.staged(spark, sf, "ratings").removeprefix("file:"), "part-*.csv")):
+        with open(part) as f:
+            headers += f.read().splitlines().count("user_id,business_id,stars")
+    assert headers >= T.MIN_FILES
+    assert T.staged(spark, sf, "users") == T.staged(spark, sf, "users")
