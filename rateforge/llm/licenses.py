@@ -15,7 +15,8 @@ over a document's findings, null without any.
 
 Defined cases: a null or empty text has 0 words, empty label lists, null places
 and score 0; a broken expression labels the known ids it names and counts as
-weaker evidence; repeated rows and null ``doc_id``s are scanned like others;
+weaker evidence; an expression ends with its line, comment or sentence, but
+goes on over lines while a parenthesis is open, and commas part several; repeated rows and null ``doc_id``s are scanned like others;
 extra columns are ignored; an empty table gives no rows; overlapping hits all
 count.
 """
@@ -58,7 +59,12 @@ OPENNESS = {
     "lgpl-3.0": 0.6, "lgpl-3.0-only": 0.6, "lgpl-3.0-or-later": 0.6, "epl-2.0": 0.6, "cc-by-sa": 0.6, "cc-by-sa-4.0": 0.6,
     "gpl-2.0": 0.4, "gpl-2.0-only": 0.4, "gpl-2.0-or-later": 0.4, "gpl-3.0": 0.4, "gpl-3.0-only": 0.4,
     "gpl-3.0-or-later": 0.4, "agpl-3.0": 0.3, "agpl-3.0-only": 0.3, "agpl-3.0-or-later": 0.3,
-    "cc-by-nc": 0.2, "cc-by-nc-4.0": 0.2, "cc-by-nc-sa-4.0": 0.2, "cc-by-nd-4.0": 0.1, "all-rights-reserved": 0.0,
+    "apache-1.1": 1.0, "artistic-2.0": 1.0, "bsl-1.0": 1.0, "cc-by-3.0": 1.0, "mit-0": 1.0, "ms-pl": 1.0, "ncsa": 1.0,
+    "ofl-1.1": 1.0, "postgresql": 1.0, "python-2.0": 1.0, "wtfpl": 1.0, "x11": 1.0,
+    "cddl-1.0": 0.6, "cc-by-sa-3.0": 0.6, "epl-1.0": 0.6, "eupl-1.2": 0.6, "lgpl-2.0": 0.6, "lgpl-2.0-only": 0.6,
+    "lgpl-2.0-or-later": 0.6, "mpl-1.1": 0.6, "ms-rl": 0.6, "odbl-1.0": 0.6,
+    "cecill-2.1": 0.4, "gpl-1.0": 0.4, "gpl-1.0-only": 0.4, "gpl-1.0-or-later": 0.4, "osl-3.0": 0.4,
+    "cc-by-nc-nd-4.0": 0.1, "cc-by-nc": 0.2, "cc-by-nc-4.0": 0.2, "cc-by-nc-sa-4.0": 0.2, "cc-by-nd-4.0": 0.1, "all-rights-reserved": 0.0,
 }
 TAGS = ("spdx-license-identifier:", "license-expression:")
 TAG_SCORE, BROKEN_TAG_SCORE, BASE_SCORE, NOTICE_SCORE = 1.0, 0.5, 0.9, 0.7
@@ -67,8 +73,10 @@ _BREAKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _TO_WORDS = bytes(_LOWER[b] if _BREAKS[b] != 32 else 32 for b in range(256))
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+\-]*|[^\sA-Za-z0-9()]")
-#: What ends an expression.
-_STOP = re.compile(r"\n|\*/|-->|#|;|,")
+#: What ends an expression: a line, a comment, or a sentence.
+_STOP = re.compile(r"\n|\*/|-->|#|;|\.(?=\s|$)")
+#: What a comment puts before the text of its next line.
+_LEADER = re.compile(r"[ \t]*(?://+|\*(?!/)|#+|--(?!>)|;+|%+)?[ \t]*")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
@@ -143,24 +151,56 @@ def _automata() -> tuple[ahocorasick.Automaton, ahocorasick.Automaton]:
     return notices, tags
 
 
+def _end_of_expression(raw: str, start: int) -> int:
+    """Where the expression at ``start`` stops; inside open parentheses it goes on over line ends."""
+    at, depth = start, 0
+    while True:
+        found = _STOP.search(raw, at)
+        if not found:
+            return len(raw)
+        depth += raw.count("(", at, found.start()) - raw.count(")", at, found.start())
+        if found.group() != "\n" or depth <= 0:
+            return found.start()
+        at = _LEADER.match(raw, found.end()).end()
+
+
 def _expressions(raw: str, ends: Iterator[int]) -> Iterator[str]:
-    """The text after each tag, to the end of its line or comment at most.
+    """The expressions that the tags of a text give.
 
-    Tags before the same stop: the first one's text is broken, as it holds a
-    tag, and names all that the others between it and the last one name. Those
-    are passed over, which keeps a line of many tags linear.
+    The first tag tells where its run stops; tags up to there belong to it. A
+    run is parted at its commas. Each part is read from its beginning and from
+    each tag in it: the text before a tag is broken, as it holds that tag, and
+    names all that the texts of later tags but the last name, so the first and
+    the last are enough, which keeps a line of many tags linear.
     """
-    first, last, stop = 0, 0, -1
+    run: list[int] = []
+    stop = -1
+
+    def texts() -> Iterator[str]:
+        tags, begin = run, run[0]
+        k = 0
+        while begin <= stop:
+            comma = raw.find(",", begin, stop)
+            end = comma if comma >= 0 else stop
+            starts = [begin]
+            while k < len(tags) and tags[k] <= end:
+                starts.append(tags[k])
+                k += 1
+            for at in sorted({starts[0], starts[-1]}):
+                lines = raw[at:end].split("\n")
+                joined = " ".join([lines[0], *(x[_LEADER.match(x).end() :] for x in lines[1:])])
+                if joined.strip():
+                    yield joined
+            begin = end + 1
+
     for end in ends:
         if end + 1 > stop:
-            if stop >= 0:
-                yield from (raw[at:stop] for at in sorted({first, last}))
-            first = end + 1
-            found = _STOP.search(raw, first)
-            stop = found.start() if found else len(raw)
-        last = end + 1
-    if stop >= 0:
-        yield from (raw[at:stop] for at in sorted({first, last}))
+            if run:
+                yield from texts()
+            run, stop = [], _end_of_expression(raw, end + 1)
+        run.append(end + 1)
+    if run:
+        yield from texts()
 
 
 def scan(text: str | None) -> tuple:

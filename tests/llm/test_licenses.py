@@ -88,11 +88,41 @@ def test_long_expressions_are_read_to_the_end_of_the_line():
     assert got[5:] == ("gpl-2.0,isc,mit", X.TAG_SCORE, 1.0)
 
 
+def brute_stop(text, at):
+    """Character by character: where the expression that starts at ``at`` stops."""
+    depth = 0
+    while at < len(text):
+        rest = text[at:]
+        sentence = rest[0] == "." and (len(rest) == 1 or rest[1].isspace())
+        if rest[0] in "#;" or rest.startswith(("*/", "-->")) or sentence or rest[0] == "\n" and depth <= 0:
+            return at
+        depth += {"(": 1, ")": -1}.get(rest[0], 0)
+        at += 1
+        if rest[0] == "\n":  # over what the comment puts before its next line
+            at += len(re.match(r"[ \t]*(//+|\*(?!/)|#+|--(?!>)|;+|%+)?[ \t]*", text[at:])[0])
+    return at
+
+
 def every_tag(text):
-    """(labels, score, openness) with each tag's expression read by itself."""
+    """(labels, score, openness) with each comma part of a run read from its beginning and from every tag in it."""
     found, score, openness = set(), 0.0, []
+    runs, stop = [], -1
     for m in re.finditer("|".join(X.TAGS), text, re.IGNORECASE):
-        expression = re.split(r"\n|\*/|-->|#|;|,", text[m.end() :], maxsplit=1)[0]
+        if m.end() > stop:
+            stop = brute_stop(text, m.end())
+            runs.append((stop, []))
+        runs[-1][1].append(m.end())
+    expressions = []
+    for stop, tags in runs:
+        cuts = [tags[0] - 1, *(i for i in range(tags[0], stop) if text[i] == ","), stop]
+        for left, right in zip(cuts, cuts[1:]):
+            starts = {left + 1, *(t for t in tags if left + 1 <= t <= right)}
+            expressions += [text[at:right] for at in starts if text[at:right].strip()]
+    for expression in expressions:
+        first, *more = expression.split("\n")
+        expression = " ".join([first, *(re.sub(r"^[ \t]*(//+|\*(?!/)|#+|--(?!>)|;+|%+)?[ \t]*", "", x) for x in more)])
+        if not expression.strip():
+            continue
         try:
             ids, value = X.evaluate(expression)
             known = all(i.split(" ")[0].removesuffix("+") in X.OPENNESS for i in ids)
@@ -106,7 +136,7 @@ def every_tag(text):
 
 def test_many_tags_on_a_line():
     rnd = random.Random(5)
-    parts = [*X.TAGS, "SPDX-License-Identifier: ", "MIT", "ISC", "GPL-2.0", "oops", " OR ", " AND ", "(", ")", " ", "\n", ",", "-->", "#", "*/"]
+    parts = [*X.TAGS, "SPDX-License-Identifier: ", "MIT", "ISC", "GPL-2.0", "oops", " OR ", " AND ", "(", ")", " ", "\n", "\n// ", ", ", ".", ". ", "-->", "#", "*/"]
     for _ in range(3000):
         text = "".join(rnd.choices(parts, k=rnd.randint(1, 25)))
         assert X.scan(text)[5:] == every_tag(text), text
@@ -122,3 +152,44 @@ def test_defined_cases(docs_of, small_docs):
     assert all(tuple(r)[1:] == (0, 0, None, None, "", "", 0.0, None) for r in rows) and len(rows) == 3
     assert X.scan_licenses(docs.where("false")).count() == 0
     assert X.scan_licenses(small_docs).where((F.col("score") < 0) | (F.col("score") > 1)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "labels", "score"),
+    [
+        ("SPDX-License-Identifier: MIT.", "mit", 1.0),
+        ("SPDX-License-Identifier: MIT. See LICENSE", "mit", 1.0),
+        ("License-Expression: MIT, Apache-2.0", "apache-2.0,mit", 1.0),
+        ("// SPDX-License-Identifier: (MIT OR\n//   Apache-2.0)\nint x;", "apache-2.0,mit", 1.0),
+        (" * SPDX-License-Identifier: (MIT OR\n * (GPL-2.0-only AND\n * BSD-3-Clause)) */ MPL-2.0", "bsd-3-clause,gpl-2.0-only,mit", 1.0),
+        ("SPDX-License-Identifier: Artistic-2.0", "artistic-2.0", 1.0),
+        ("SPDX-License-Identifier: MIT\nApache-2.0", "mit", 1.0),
+        ("SPDX-License-Identifier: MIT, see below", "mit", 1.0),
+        ("SPDX-License-Identifier: Apache-2.0", "apache-2.0", 1.0),
+    ],
+)
+def test_where_expressions_end(text, labels, score):
+    got = X.scan(text)
+    assert got[5] == labels and got[6] == score
+
+
+def test_generated_expressions_against_brute_force():
+    """Random expressions, printed with comments and line ends: labels and openness of the tree they came from."""
+    rnd = random.Random(9)
+    ids = ["MIT", "Apache-2.0", "GPL-2.0-only", "MPL-2.0", "BSD-3-Clause", "CC0-1.0"]
+
+    def tree(depth):
+        if depth == 0 or rnd.random() < 0.3:
+            name = rnd.choice(ids)
+            return name, {name.lower()}, X.OPENNESS[name.lower()]
+        (a, x, p), (b, y, q) = tree(depth - 1), tree(depth - 1)
+        op = rnd.choice(["AND", "or", "Or", "and"])
+        return f"({a} {op} {b})", x | y, min(p, q) if op.lower() == "and" else max(p, q)
+
+    for _ in range(300):
+        text, labels, openness = tree(rnd.randint(0, 5))
+        lead = rnd.choice(["// ", "# ", " * ", "", "-- "])
+        if text.startswith("("):
+            text = "".join("\n" + lead if c == " " and rnd.random() < 0.15 else c for c in text)
+        got = X.scan(f"some words\n{lead}SPDX-License-Identifier: {text}{rnd.choice(['', '.', ' ; x', chr(10) + 'GPL-3.0'])}")
+        assert got[5].split(",") == sorted(labels) and got[6] == 1.0 and got[7] == openness, text
