@@ -72,10 +72,13 @@ def format_conversations(conversations: DataFrame, loss_role: str = LOSS_ROLE) -
     """(conv_id, formatted, loss_spans) of each conversation (conv_id, turn, role, text)."""
     turn = F.struct(
         F.col("turn"),
-        escape(F.coalesce(F.col("role").cast("string"), F.lit(""))).alias("role"),
-        escape(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"),
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    grouped = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    # Sorted as they are, then escaped: equal turns stand in the order of their own texts.
+    ordered = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    escaped = F.transform("turns", lambda t: F.struct(t["turn"], escape(t["role"]).alias("role"), escape(t["text"]).alias("text")))
+    grouped = ordered.select("conv_id", escaped.alias("turns"))
     messages = grouped.select("conv_id", merged_turns(F.col("turns")).alias("messages"))
     return messages.select("conv_id", _formatted("messages"), _loss_spans("messages", loss_role))
 

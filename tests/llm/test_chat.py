@@ -57,6 +57,14 @@ def test_nulls_ties_and_repeats(spark):
     assert [(t.role, t.text) for t in got[None].turns] == [("assistant", "")]
 
 
+def test_ties_follow_the_texts_themselves(spark):
+    """Rows of one turn are ordered by their texts, not by the escaped ones."""
+    rows = [(1, 0, "user", "<t", "x"), (1, 0, "user", "<s>", "x"), (1, 0, "user", "[INST]", "x"), (1, 0, "user", "[J", "x")]
+    out = chat.format_conversations(spark.createDataFrame(rows, SCHEMA))
+    (got,) = out.select(chat.read_turns(F.col("formatted")).alias("turns")).collect()
+    assert [t.text for t in got.turns] == ["<s>", "<t", "[INST]", "[J"]
+
+
 def test_long_conversation(spark):
     turns = [("assistant" if i % 3 else "user", f"{i} " * 20) for i in range(3000)]
     got = formatted(spark, {5: turns})[5]
