@@ -129,17 +129,37 @@ def test_separator_scan_across_blocks(spark, tmp_path):
 
 
 def test_separator_scan_of_spread_files(spark, tmp_path):
-    """Files dealt out by blocks give what whole files give."""
+    """Files dealt out by blocks, plain and gzip alike."""
     rnd = np.random.default_rng(7)
     for k, n in enumerate((1, 7, 64, 1000, 1001)):
         raw = rnd.choice([token_files.END_ID, 1, 2, 3], n).astype("<u2").tobytes()
         (tmp_path / f"part-0000{k}-a b%20.bin").write_bytes(raw)
         (tmp_path / f"part-0001{k}-x.gz").write_bytes(gzip.compress(raw[:9]) + gzip.compress(raw[9:]))
+    results = []
     for block in (3, 64, 5000):
-        whole = token_files.scan_token_files(spark, str(tmp_path), block=block)
-        for above in (0, 100, 1500):
-            spread = token_files.scan_token_files(spark, str(tmp_path), block=block, spread_above=above)
-            assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, whole.collect()))
+        rows = token_files.scan_token_files(spark, str(tmp_path), block=block).collect()
+        results.append(sorted((r.file.rsplit("/", 1)[1][9:10], *r[1:]) for r in rows))
+    # the plain and the gzip file of the same ids
+    assert results[0] == results[1] == results[2] and all(results[0][k] == results[0][k + 1] for k in range(0, len(results[0]), 2))
+
+
+def test_places_hold_when_the_input_is_split_differently(spark, tmp_path):
+    """Many small files, other splits at the write than at every later read: each document has its own count."""
+    rows = [(i, "word " * (i % 37), "x" * (i % 5)) for i in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string, document string").repartition(40).write.parquet(str(tmp_path / "d"))
+    confs = {"spark.sql.files.openCostInBytes": "1000", "spark.sql.files.minPartitionNum": "4"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        docs = spark.read.parquet(str(tmp_path / "d"))
+        got = token_files.token_counts(docs)
+        spark.conf.set("spark.sql.files.minPartitionNum", "6")
+        counts = {r.doc_id: r.n_tokens for r in got.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert counts == {i: len(ids_of(t)) for i, t, _ in rows}
 
 
 def test_separator_scan_of_a_file_above_2_gb(spark, tmp_path):
@@ -154,8 +174,8 @@ def test_separator_scan_of_a_file_above_2_gb(spark, tmp_path):
     got = sorted((r.document, r.start, r.n_tokens, r.closed) for r in rows)
     starts, stops = [0, *(e + 1 for e in ends)], [*ends, n]
     assert got == [(k, a, b - a, k < len(ends)) for k, (a, b) in enumerate(zip(starts, stops))]
-    blocks = token_files._file_blocks(spark, str(tmp_path), token_files.END_ID, token_files.BLOCK, token_files.SPREAD_ABOVE)
-    assert blocks.groupBy(F.spark_partition_id()).count().count() > 8
+    blocks = token_files._file_blocks(spark, str(tmp_path), token_files.END_ID, token_files.BLOCK)
+    assert len(blocks.inputFiles()) > 8  # one per task that had blocks
 
 
 def test_token_counts_empty(spark, small_docs):
