@@ -8,6 +8,7 @@ only below its threshold) and outlives a lost executor.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,8 @@ def release_shuffles(spark: SparkSession) -> None:
 
     Spark drops them once the driver's garbage collector finds their plans
     unused, which may take long on an idle driver. For jobs whose shuffles are
-    large against their result.
+    large against their result. Spark's own listeners hold the plan of the job
+    just ended for a moment, hence the pause.
     """
+    time.sleep(1)
     spark.sparkContext._jvm.System.gc()
