@@ -8,6 +8,7 @@ only below its threshold) and outlives a lost executor.
 
 from __future__ import annotations
 
+import gc
 import time
 import uuid
 
@@ -33,8 +34,13 @@ def release_shuffles(spark: SparkSession) -> None:
 
     Spark drops them once the driver's garbage collector finds their plans
     unused, which may take long on an idle driver. For jobs whose shuffles are
-    large against their result. Spark's own listeners hold the plan of the job
-    just ended for a moment, hence the pause.
+    large against their result. The scheduler holds the job just ended until it
+    is given another, hence the small one; Python's handles of the plans stand
+    in reference cycles; and the JVM drops some of what hangs together only
+    with a second collection.
     """
+    spark.range(1).collect()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     time.sleep(1)
     spark.sparkContext._jvm.System.gc()
