@@ -9,11 +9,15 @@ is covered, or when it has seen every code.
 
 Equal codes are one index entry with their k smallest ids (a partial top-k
 before the shuffle), and equal query codes are searched once, so groups of
-copies neither meet in one task nor multiply. Candidates of a round are
-verified by their full distance and cut to k per query in a window with a
-per-task limit. Rounds are at most the bits of a segment; the driver gets a
-count per round. The segment length follows the number of codes
-(about log2), which holds the entries per segment value constant.
+copies neither meet in one task nor multiply. A candidate is verified where the
+index is joined: it goes on only from the first of its segments that are
+nearest to the query's, hence once in all rounds, and only if it is no farther
+than the query's k-th code so far. What goes on is cut to k per query in a
+window with a per-task limit. There are two rounds a radius, of at most the bits
+of a segment; the driver gets a count per round. The number of segments is the
+one with the fewest probes and candidates for so many random codes, so their
+length grows with the logarithm of the number of codes; it decides the work
+alone, never the result.
 
 Ties: the k results are the first by (distance, id). Defined cases: a null
 embedding, or a null id, is neither indexed nor a query; a null or NaN element,
@@ -24,7 +28,7 @@ ignored; an empty table gives no rows; fewer than k codes give fewer results.
 
 from __future__ import annotations
 
-from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +37,8 @@ from ..sources.shared import materialize
 
 K = 10
 BITS = 64
-WORD = 16
+#: Bits of a segment at most, which bounds the probes of the farthest query by 2^22 a segment.
+WORD = 22
 
 
 def code_of(embedding: Column, bits: int = BITS) -> Column:
@@ -52,32 +57,94 @@ def code_of(embedding: Column, bits: int = BITS) -> Column:
     return code
 
 
-def segment_count(codes: int, bits: int = BITS) -> int:
-    """Segments of at most WORD bits whose values are about as many as the codes."""
-    length = min(WORD, max(4, codes.bit_length()))
-    return -(-bits // length)
+def _bounds(n: int, bits: int) -> list[int]:
+    return [bits * i // n for i in range(n + 1)]
+
+
+def _rounds(n: int, length: int) -> list[tuple[int, range]]:
+    """The radii, each for one half of the segments and then for the other."""
+    half = -(-n // 2)
+    return [(r, part) for r in range(length + 1) for part in (range(half), range(half, n)) if part]
+
+
+def _covered(n: int, radius: int, chosen: range) -> int:
+    """The distance up to which all codes are seen: all segments probed to radius - 1, the first ones to radius."""
+    return n * radius + chosen.stop - 1
+
+
+def expected_work(n: int, codes: int, k: int = K, bits: int = BITS) -> float:
+    """Probes and candidates of a query among random codes, with n segments."""
+    near, within = 0, 1
+    while near < bits and codes * within < k << bits:
+        near += 1
+        within += comb(bits, near)
+    bounds, work = _bounds(n, bits), 0.0
+    for radius, chosen in _rounds(n, max(b - a for a, b in zip(bounds, bounds[1:]))):
+        for i in chosen:
+            length = bounds[i + 1] - bounds[i]
+            work += comb(length, radius) * (1 + codes / 2**length)
+        if _covered(n, radius, chosen) >= near:
+            break
+    return work
+
+
+def segment_count(codes: int, k: int = K, bits: int = BITS) -> int:
+    """Segments of at most WORD bits, and of 4 where there are as many, with the least expected work."""
+    return min(range(-(-bits // WORD), max(1, bits // 4) + 1), key=lambda n: expected_work(n, codes, k, bits))
+
+
+def _part(code: Column, start: int, stop: int) -> Column:
+    return F.shiftrightunsigned(code, start).bitwiseAND(F.lit((1 << (stop - start)) - 1).cast("long"))
 
 
 def _segments(code: Column, bits: int, n: int, chosen: range) -> Column:
-    """An array of (segment, value) of a code, for the chosen segments."""
-    bounds = [bits * i // n for i in range(n + 1)]
-    out = []
-    for i in chosen:
-        mask = F.lit((1 << (bounds[i + 1] - bounds[i])) - 1).cast("long")
-        value = F.shiftrightunsigned(code, bounds[i]).bitwiseAND(mask).cast("int")
-        out.append(F.struct(F.lit(i).alias("segment"), value.alias("value")))
-    return F.array(*out)
+    """An array of (segment, length, value) of a code, for the chosen segments."""
+    bounds = _bounds(n, bits)
+    return F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("segment"),
+                F.lit(bounds[i + 1] - bounds[i]).alias("length"),
+                _part(code, bounds[i], bounds[i + 1]).cast("int").alias("value"),
+            )
+            for i in chosen
+        ]
+    )
+
 
+def _probes(waiting: DataFrame, bits: int, n: int, chosen: range, radius: int) -> DataFrame:
+    """(query, kth, segment, value): every value at ``radius`` from the query's in the chosen segments.
 
-def _masks(length: int, radius: int) -> list[int]:
-    """The ``radius``-bit values of a segment, C(16, 8) = 12,870 at most."""
-    return [sum(1 << b for b in chosen) for chosen in combinations(range(length), radius)]
+    Bits are flipped from the lowest up, one after the other, so that no table of
+    all masks is held anywhere.
+    """
+    flipped = waiting.select("query", "kth", F.inline(_segments(F.col("query"), bits, n, chosen)))
+    flipped = flipped.where(F.col("length") >= radius).withColumn("next", F.lit(0))
+    for left in range(radius, 0, -1):
+        bit = F.explode(F.sequence(F.col("next"), F.col("length") - left)).alias("bit")
+        value = F.col("value").bitwiseXOR(F.call_function("shiftleft", F.lit(1), F.col("bit"))).alias("value")
+        flipped = flipped.select("query", "kth", "segment", "length", "value", bit)
+        flipped = flipped.select("query", "kth", "segment", "length", value, (F.col("bit") + 1).alias("next"))
+    return flipped.select("query", "kth", "segment", "value")
+
+
+def _first_of_nearest(bits: int, n: int, radius: int) -> Column:
+    """Whether ``segment`` is the first of those in which query and code are nearest, at ``radius``."""
+    bounds, differ = _bounds(n, bits), F.col("query").bitwiseXOR(F.col("code"))
+    nearest = F.lit(True)
+    for i in range(n):
+        least = F.when(F.col("segment") > i, radius + 1).otherwise(radius)
+        nearest = nearest & (F.bit_count(_part(differ, bounds[i], bounds[i + 1])) >= least)
+    return nearest
 
 
 def _nearest(found: DataFrame, k: int) -> DataFrame:
-    """The k nearest codes of each query; equal distances by the code's smallest id."""
-    order = Window.partitionBy("query").orderBy("distance", "first_id")
-    return found.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k).drop("_n")
+    """The k nearest codes of each query, equal distances by the code's smallest id; with their number and the farthest of them."""
+    query = Window.partitionBy("query")
+    cut = found.withColumn("_n", F.row_number().over(query.orderBy("distance", "first_id"))).where(F.col("_n") <= k)
+    return cut.select(
+        "query", "code", "first_id", "distance", F.count(F.lit(1)).over(query).alias("n"), F.max("distance").over(query).alias("kth")
+    )
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) -> DataFrame:
@@ -97,39 +164,35 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS) ->
     )
     codes = materialize(members.groupBy("code").agg(F.min("id").alias("first_id")), "codes")
     asked = materialize(coded(queries), "query-codes")
-    waiting = materialize(asked.select(F.col("code").alias("query")).distinct(), "open-queries")
+    # As long as a query has fewer than k codes, any distance is near enough.
+    waiting = materialize(asked.select(F.col("code").alias("query"), F.lit(bits).alias("kth")).distinct(), "open-queries")
     n_codes = codes.count()
-    n = segment_count(n_codes, bits)
+    n = segment_count(n_codes, k, bits)
     length = -(-bits // n)
-    index = materialize(codes.select("code", "first_id", F.inline(_segments(F.col("code"), bits, n, range(n)))), "segment-index")
+    index = materialize(
+        codes.select("code", "first_id", F.inline(_segments(F.col("code"), bits, n, range(n)))).drop("length"), "segment-index"
+    )
     found = spark.createDataFrame([], "query long, code long, first_id long, distance int")
     done = []
-    half = -(-n // 2)
-    for radius, chosen in [(r, part) for r in range(length + 1) for part in (range(half), range(half, n)) if part]:
-        # At this radius exactly; the values nearer by were probed before.
-        probes = (
-            waiting.select("query", F.inline(_segments(F.col("query"), bits, n, chosen)))
-            .select("query", "segment", "value", F.explode(F.lit(_masks(length, radius))).alias("mask"))
-            .select("query", "segment", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-        )
+    for radius, chosen in _rounds(n, length):
         distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int")
         new = (
-            # The planner cannot see how many rows the masks make: never a broadcast.
-            probes.hint("merge")
+            # The planner cannot see how many rows the flipped bits make: never a broadcast.
+            _probes(waiting, bits, n, chosen, radius)
+            .hint("merge")
             .join(index.hint("merge"), ["segment", "value"])
+            .where(_first_of_nearest(bits, n, radius) & (distance <= F.col("kth")))
             .select("query", "code", "first_id", distance.alias("distance"))
-            .unionByName(found)
-            .distinct()
         )
-        found = materialize(_nearest(new, k), "nearest-codes")
-        # All segments probed to radius - 1, the first ones to radius.
-        covered = n * radius + chosen.stop - 1
-        state = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("kth"))
-        full = (F.col("n") >= min(k, n_codes)) & (F.col("kth") <= covered) | F.lit(radius == length and chosen.stop == n)
-        closed = state.where(full).select("query")
-        done.append(found.join(closed, "query", "left_semi"))
-        waiting = materialize(waiting.join(closed, "query", "left_anti"), "open-queries")
-        found = materialize(found.join(waiting, "query", "left_semi"), "nearest-codes")
+        nearest = materialize(_nearest(new.unionByName(found), k), "nearest-codes")
+        last = radius == length and chosen.stop == n
+        full = (F.col("n") >= min(k, n_codes)) & (F.col("kth") <= _covered(n, radius, chosen)) | F.lit(last)
+        done.append(nearest.where(full).select(found.columns))
+        found = nearest.where(~full).select(found.columns)
+        state = nearest.groupBy("query").agg(F.max("n").alias("n"), F.max("kth").alias("kth"))
+        known = waiting.select("query").join(state, "query", "left")
+        kth = F.when(F.col("n") >= k, F.col("kth")).otherwise(bits).alias("kth")
+        waiting = materialize(known.where(F.col("n").isNull() | ~full).select("query", kth), "open-queries")
         if waiting.isEmpty():
             break
     nearest = done[0]

@@ -64,5 +64,37 @@ def test_defined_cases(spark):
 
 
 def test_segments_follow_the_number_of_codes():
-    assert H.segment_count(1) == 16 and H.segment_count(1000) == 7
-    assert H.segment_count(60_000) == 4 and H.segment_count(10**9) == 4
+    """More codes, longer segments; the entries a value stay few at every size."""
+    counts = [H.segment_count(10**e) for e in range(11)]
+    assert counts == sorted(counts, reverse=True) and counts[0] == 16 and counts[-1] == 3
+    assert H.segment_count(10_000) > H.segment_count(60_000) > H.segment_count(10**7)
+
+
+def test_probes_are_all_values_at_the_radius(spark):
+    """Uneven segments: 64 bits in 5, of 12 and 13 bits."""
+    query = -0x123456789ABCDEF
+    waiting = spark.createDataFrame([(query, 64)], "query long, kth int")
+    for radius in (0, 1, 3, 13):
+        found = [tuple(r) for r in H._probes(waiting, 64, 5, range(1, 5), radius).select("segment", "value").collect()]
+        expected = []
+        for i in range(1, 5):
+            start, stop = 64 * i // 5, 64 * (i + 1) // 5
+            own = (query >> start) & ((1 << (stop - start)) - 1)
+            expected += [(i, v) for v in range(1 << (stop - start)) if (v ^ own).bit_count() == radius]
+        assert sorted(found) == sorted(expected)
+
+
+@pytest.mark.parametrize("n", [3, 5, 16])
+def test_any_number_of_segments_gives_the_same_results(spark, monkeypatch, n):
+    """The number decides the work alone: every code is met once, ties stay in order."""
+    rnd = random.Random(n)
+    centre = [rnd.choice([-1.0, 1.0]) for _ in range(64)]
+    rows = []
+    for i in range(120):  # distances 0 to 4 with many ties
+        v = list(centre)
+        for b in rnd.sample(range(64), i % 5):
+            v[b] = -v[b]
+        rows.append((i, v))
+    monkeypatch.setattr(H, "segment_count", lambda *a: n)
+    queries = [r for r in rows if r[0] % 17 == 0]
+    assert search(spark, rows, queries, 10) == brute(rows, queries, 10)
