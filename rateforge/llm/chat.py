@@ -80,7 +80,8 @@ def format_conversations(conversations: DataFrame, loss_role: str = LOSS_ROLE) -
     escaped = F.transform("turns", lambda t: F.struct(t["turn"], escape(t["role"]).alias("role"), escape(t["text"]).alias("text")))
     grouped = ordered.select("conv_id", escaped.alias("turns"))
     messages = grouped.select("conv_id", merged_turns(F.col("turns")).alias("messages"))
-    return messages.select("conv_id", _formatted("messages"), _loss_spans("messages", loss_role))
+    pieces = messages.select("conv_id", _formatted("messages"), _pieces("messages", loss_role))
+    return pieces.select("conv_id", "formatted", _blocks("pieces")).select("conv_id", "formatted", _loss_spans("blocks"))
 
 
 def _formatted(messages: str) -> Column:
@@ -90,9 +91,9 @@ def _formatted(messages: str) -> Column:
     return F.array_join(shown, "").alias("formatted")
 
 
-def _loss_spans(messages: str, loss_role: str) -> Column:
-    """Spans of the loss role's texts, by a running position over all parts."""
-    pieces = F.flatten(
+def _pieces(messages: str, loss_role: str) -> Column:
+    """All parts in order: the lengths of what stands before, of the part, and of what stands after it; whether it is a loss text."""
+    return F.flatten(
         F.transform(
             messages,
             lambda m: F.transform(
@@ -106,30 +107,63 @@ def _loss_spans(messages: str, loss_role: str) -> Column:
                 ),
             ),
         )
-    )
-    zero = F.struct(
-        F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")
-    )
-    folded = F.aggregate(
-        pieces,
-        zero,
-        lambda s, p: F.struct(
-            (s["at"] + p["head"] + p["length"] + p["foot"]).cast("long").alias("at"),
-            F.when(
-                p["loss"],
-                F.concat(
-                    s["spans"],
-                    F.array(
-                        F.struct((s["at"] + p["head"]).cast("long").alias("start"), p["length"].cast("long").alias("length"))
+    ).alias("pieces")
+
+
+def _blocks(pieces: str) -> Column:
+    """The pieces in blocks of about the root of their number."""
+    n = F.size(pieces)
+    size = F.ceil(F.sqrt(n)).cast("int")
+    numbers = F.sequence(F.lit(0), F.greatest(F.ceil(n / size).cast("int") - 1, F.lit(0)))
+    return F.transform(numbers, lambda j: F.slice(pieces, j * size + 1, size)).alias("blocks")
+
+
+def _loss_spans(blocks: str) -> Column:
+    """Spans of the loss role's texts, by a running position over all parts.
+
+    A fold that appends copies what it holds at every step. Blocks are folded
+    apart, from position 0, and then moved to where they begin, so that a long
+    conversation costs its length times a block, not the square of its length.
+    """
+    at = F.lit(0).cast("long").alias("at")
+    in_block = F.transform(
+        blocks,
+        lambda own: F.aggregate(
+            own,
+            F.struct(at, F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans")),
+            lambda s, p: F.struct(
+                (s["at"] + p["head"] + p["length"] + p["foot"]).cast("long").alias("at"),
+                F.when(
+                    p["loss"],
+                    F.concat(
+                        s["spans"],
+                        F.array(
+                            F.struct((s["at"] + p["head"]).cast("long").alias("start"), p["length"].cast("long").alias("length"))
+                        ),
                     ),
-                ),
-            )
-            .otherwise(s["spans"])
-            .alias("spans"),
+                )
+                .otherwise(s["spans"])
+                .alias("spans"),
+            ),
         ),
-        lambda s: s["spans"],
     )
-    return folded.alias("loss_spans")
+    return F.aggregate(
+        in_block,
+        F.struct(at, F.array().cast("array<array<struct<start:bigint,length:bigint>>>").alias("spans")),
+        lambda s, block: F.struct(
+            (s["at"] + block["at"]).alias("at"),
+            F.concat(
+                s["spans"],
+                F.array(
+                    F.transform(
+                        block["spans"],
+                        lambda x: F.struct((s["at"] + x["start"]).alias("start"), x["length"].alias("length")),
+                    )
+                ),
+            ).alias("spans"),
+        ),
+        lambda s: F.flatten(s["spans"]),
+    ).alias("loss_spans")
 
 
 def read_turns(formatted: Column) -> Column:

@@ -69,6 +69,17 @@ def test_long_conversation(spark):
     turns = [("assistant" if i % 3 else "user", f"{i} " * 20) for i in range(3000)]
     got = formatted(spark, {5: turns})[5]
     assert [(t.role, t.text) for t in got.turns] == turns
+    assert got.loss == "".join(text for role, text in turns if role == "assistant")
+    assert [got.formatted[s.start : s.start + s.length] for s in got.loss_spans] == [t for r, t in turns if r == "assistant"]
+
+
+def test_loss_spans_of_every_length(spark):
+    """Blocks of any number of pieces, full or not."""
+    conversations = {n: [("assistant" if i % 4 else "user", "x" * (i % 5)) for i in range(n)] for n in range(1, 40)}
+    got = formatted(spark, conversations)
+    for n, turns in conversations.items():
+        texts = [t for r, t in turns if r == "assistant"]
+        assert [got[n].formatted[s.start : s.start + s.length] for s in got[n].loss_spans] == texts
 
 
 def test_empty_and_native(spark):
