@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
 as Parquet in the shared folder and read again as the next one's ``docs``. All
 but the last return the columns of ``documents``.
+
+Defined cases, beside those of the operators: nulls in any column pass through
+(a null text has no words and fails the quality rules; a row without ``doc_id``
+is judged by its own text and gives way to a near-duplicate with an id; a null
+``source`` is a source); repeated rows are near-duplicates, of which one stays;
+texts of any length are used whole; columns beyond those of ``documents``,
+whatever their names, are carried on and dropped by the last stage; an empty
+table gives no rows in every stage.
 """
 
 from __future__ import annotations
