@@ -73,3 +73,38 @@ def test_stages_take_an_empty_table(spark):
     frame = queries.read(spark, SF, "documents").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, frame, SF).count() == 0
+
+
+def test_stages_take_hard_cases(spark, small_docs, docs_of):
+    """Nulls, repeated rows, long texts and clashing columns, through all stages one after the other."""
+    body = " ".join(f"word{i}" for i in range(80))
+    long = " ".join(f"long{i % 9000}x{i}" for i in range(60_000))
+    extra = docs_of([
+        (20_000, body, "src0"), (20_000, body, "src0"), (None, body, "src1"), (20_001, long, None),
+        (None, " ".join(f"other{i}" for i in range(70)), None), (20_002, None, "src0"),
+    ])
+    extra = extra.selectExpr("*", "1 AS label", "'clash' AS key")
+    frame = small_docs.unionByName(extra)
+    columns = frame.columns
+    (_, quality), (_, dedup), (_, mix), (_, pack) = corpus_pipeline.STAGES
+
+    frame = quality(spark, frame, SF)
+    kept = frame.collect()
+    assert frame.columns == columns
+    assert sum(r.text == body for r in kept) == 3 and sum(r.text == long for r in kept) == 1
+    assert all(r.text is not None for r in kept)
+
+    frame = dedup(spark, frame, SF)
+    single = frame.collect()
+    assert frame.columns == columns
+    # of the repeated rows and the one without an id, the row with the id, once
+    assert [(r.doc_id, r.source) for r in single if r.text == body] == [(20_000, "src0")]
+    assert sum(r.doc_id is None for r in single) == 1 and any(r.text == long for r in single)
+
+    frame = mix(spark, frame, SF)
+    mixed = frame.collect()
+    assert frame.columns == columns and {r.key for r in mixed} == {"clash"}
+    assert {r.source for r in mixed} == {r.source for r in single}
+
+    pieces = pack(spark, frame, SF).collect()
+    assert sum(p.start == 0 for p in pieces) == len(mixed)
